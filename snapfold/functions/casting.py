@@ -50,7 +50,11 @@ def safe_cast(
 
 def cast_all(df: DataFrame, specs: Iterable[CastSpec]) -> DataFrame:
     """Apply every spec whose column exists, in one projection."""
-    present = [s for s in specs if s.name in df.columns]
+    have = set(df.columns)
     return df.withColumns(
-        {s.name: safe_cast(s.name, s.type, s.default, s.formats, s.group_separator) for s in present}
+        {
+            s.name: safe_cast(s.name, s.type, s.default, s.formats, s.group_separator)
+            for s in specs
+            if s.name in have
+        }
     )

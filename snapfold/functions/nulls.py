@@ -22,7 +22,8 @@ def fill_defaults(
         cell = F.nullif(column(name), F.lit("")) if empty_as_null else column(name)
         return F.coalesce(cell, F.lit(default))
 
-    return df.withColumns({n: filled(n, d) for n, d in defaults.items() if n in df.columns})
+    have = set(df.columns)
+    return df.withColumns({n: filled(n, d) for n, d in defaults.items() if n in have})
 
 
 def replace_sentinel(col: Column, sentinel: str, replacement: str | None) -> Column:
@@ -43,7 +44,8 @@ def text_or(col: Column, placeholder: str) -> Column:
 
 def zero_fill(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """NULL to 0.0 in the named columns."""
-    return df.withColumns({n: F.coalesce(column(n), F.lit(0.0)) for n in names if n in df.columns})
+    have = set(df.columns)
+    return df.withColumns({n: F.coalesce(column(n), F.lit(0.0)) for n in names if n in have})
 
 
 def yes_no(col: Column) -> Column:

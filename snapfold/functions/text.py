@@ -23,8 +23,8 @@ def text_clean(col: Column) -> Column:
 
 def clean_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """``text_clean`` on every named column the frame has."""
-    present = [n for n in names if n in df.columns]
-    return df.withColumns({n: text_clean(column(n)) for n in present})
+    have = set(df.columns)
+    return df.withColumns({n: text_clean(column(n)) for n in names if n in have})
 
 
 def split_first(col: Column, separator: str) -> Column:

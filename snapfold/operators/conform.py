@@ -41,8 +41,9 @@ def drop_present(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 def ensure_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Add every absent column as a typed NULL."""
+    have = set(df.columns)
     return df.withColumns(
-        {name: F.lit(None).cast(type) for name, type in types.items() if name not in df.columns}
+        {name: F.lit(None).cast(type) for name, type in types.items() if name not in have}
     )
 
 

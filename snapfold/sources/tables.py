@@ -7,12 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snapfold.functions.text import column
 from snapfold.sources.snapshots import INGEST_TS
 
 BATCH = "_batch_id"
+SEASON = "_season"
 
 
 @dataclass(frozen=True)
@@ -43,50 +43,75 @@ class Lake:
     # columns of each batch are noted next to the data, so a scan knows the full
     # schema without opening every file's footer.
 
-    def append_batch(self, df: DataFrame, name: str, batch: int) -> None:
-        """Add one ingest batch.
+    def append_batch(
+        self, df: DataFrame, name: str, batch: int, season: int | None = None
+    ) -> None:
+        """Add one ingest batch, to one season of the table if it has seasons.
 
-        Repeating a batch replaces it.  Batch 0 starts the table, so a run with
-        a new checkpoint replaces everything an earlier run has left.
+        Repeating a batch replaces it.  Batch 0 starts the table (or season), so
+        a run with a new checkpoint replaces everything an earlier one has left.
         """
-        base = self.path("bronze", name)
         fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
         noted = self.spark.createDataFrame(fields, "position int, name string, type string")
-        for frame, folder, key in ((noted.coalesce(1), "columns", "batch"), (df, "rows", BATCH)):
+        for frame, part in ((noted.coalesce(1), "columns"), (df, "rows")):
+            folder = self._ingest_path(name, part)
+            if season is not None:
+                folder = f"{folder}/{SEASON}={season}"
             if batch == 0:
                 (
-                    frame.withColumn(key, F.lit(0))
+                    frame.withColumn(BATCH, F.lit(0))
                     .write.mode("overwrite")
                     .option("partitionOverwriteMode", "static")
-                    .partitionBy(key)
-                    .parquet(f"{base}/{folder}")
+                    .partitionBy(BATCH)
+                    .parquet(folder)
                 )
             else:
-                frame.write.mode("overwrite").parquet(f"{base}/{folder}/{key}={batch}")
-
-    def scan_ingested(self, name: str) -> DataFrame:
-        """All rows of an ingest table; columns in order of first appearance."""
-        base = self.path("bronze", name)
-        noted = (
-            self.spark.read.schema("batch long, position int, name string, type string")
-            .parquet(f"{base}/columns")
-            .groupBy("name", "type")
-            .agg(F.min(F.struct("batch", "position")).alias("first_seen"))
-            .orderBy("first_seen")
-            .collect()  # one row per column of the table
+                frame.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch}")
+
+    def ingested(self, name: str) -> DataFrame:
+        """All rows of an ingest table; a column a batch lacks is NULL there."""
+        types, seasonal = {}, False
+        for season, columns in self.ingested_columns(name).items():
+            seasonal = seasonal or season is not None
+            types.update({c: t for c, t in columns.items() if c not in types})
+        stored = {**types, SEASON: "int"} if seasonal else types
+        schema = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in stored.items())
+        rows = self.spark.read.schema(schema).parquet(self._ingest_path(name, "rows"))
+        return rows.select(*[column(c) for c in stored])
+
+    def ingested_seasons(self, name: str) -> dict[int, DataFrame]:
+        """The table season by season, each with just the columns its files had."""
+        rows = self.ingested(name)
+        every = set(rows.columns) - {SEASON}
+        return {
+            season: rows.filter(F.col(SEASON) == season).drop(*(every - set(columns)))
+            for season, columns in sorted(self.ingested_columns(name).items())
+        }
+
+    def ingested_columns(self, name: str) -> dict[int | None, dict[str, str]]:
+        """Season to column types, in order of first appearance."""
+        noted = self.spark.read.option("basePath", self._ingest_path(name, "columns")).parquet(
+            self._ingest_path(name, "columns")
         )
-        schema = T.StructType()
-        for row in noted:
-            schema = schema.add(row["name"], row["type"])
-        rows = self.spark.read.schema(schema).parquet(f"{base}/rows")
-        return rows.select(*[column(f.name) for f in schema])
-
+        season = F.col(SEASON) if SEASON in noted.columns else F.lit(None).cast("int")
+        first_seen = (
+            noted.groupBy(season.alias("season"), "name", "type")
+            .agg(F.min(F.struct(BATCH, "position")).alias("first_seen"))
+            .collect()  # one row per season and column
+        )
+        columns: dict[int | None, dict[str, str]] = {}
+        for row in sorted(first_seen, key=lambda r: r.first_seen):
+            columns.setdefault(row.season, {})[row["name"]] = row.type
+        return columns
 
     def ingested_files(self, name: str) -> DataFrame:
         """Rows and latest ingest time per source file, newest first."""
         return (
-            self.scan_ingested(name)
+            self.ingested(name)
             .groupBy("_source_file")
             .agg(F.count(F.lit(1)).alias("rows"), F.max(INGEST_TS).alias("ingested"))
             .orderBy(F.desc("ingested"), "_source_file")
         )
+
+    def _ingest_path(self, name: str, part: str) -> str:
+        return f"{self.path('bronze', name)}/{part}"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from snapfold.operators.conform import stamp
 from snapfold.sources.snapshots import WINDOWS_1252, Dialect, read_files
 from snapfold.sources.tables import Lake
 
@@ -29,7 +28,8 @@ def stream_snapshots(
     The stream is one of file arrivals, so its checkpoint remembers files and
     each micro-batch may bring new headers.  A micro-batch is written to its own
     folder, which makes a replay after a failure replace what it left behind.
-    Stops when all present files are in.
+    Stops when all present files are in.  With a ``season`` the rows go to that
+    season of the table, which reads as its ``_season`` column.
 
     ``run`` names the checkpoint.  A new name starts over and replaces the table by
     all files present, which is the full reload.
@@ -38,7 +38,7 @@ def stream_snapshots(
     def ingest(arrivals: DataFrame, batch: int) -> None:
         rows = read_files(arrivals, dialect)
         if rows is not None:
-            lake.append_batch(rows if season is None else stamp(rows, _season=season), table, batch)
+            lake.append_batch(rows, table, batch, season)
 
     return (
         lake.spark.readStream.format("binaryFile")
@@ -50,7 +50,7 @@ def stream_snapshots(
         .load(folder)
         .select("path")
         .writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", f"{lake.path('checkpoints', table)}/{run}")
+        .option("checkpointLocation", f"{lake.path('checkpoints', table)}/{season or 'all'}/{run}")
         .trigger(availableNow=True)
         .start()
     )
