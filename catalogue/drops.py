@@ -46,6 +46,7 @@ def write_drop(
         .write.partitionBy(*keys)
         .options(
             header="true",
+            sep=dialect.delimiter,
             escape='"',
             quoteAll=str(quote_all).lower(),
             encoding="ISO-8859-1" if dialect.is_windows_1252 else dialect.encoding,
