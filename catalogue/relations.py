@@ -125,7 +125,7 @@ def running_group(spark, sf):
         ["turn"],
         F.col("role") == "user",
         "grp",
-        bucket=[O.row_bucket("turn", 4)],
+        bucket=[O.row_bucket("turn", 1_000)],
     ).drop("role")
 
 
@@ -141,15 +141,22 @@ def _purchases(spark, sf):
 
 @query("i3_forward_fill", FILLED)
 def forward_fill(spark, sf):
-    filled = O.forward_fill(_purchases(spark, sf), ["user_id"], ["ts", "event_id"], ["value"])
+    """Work is split by user and day, so a user with a third of all events is many tasks."""
+    filled = O.forward_fill(
+        _purchases(spark, sf), ["user_id"], ["ts", "event_id"], ["value"], bucket=[F.to_date("ts")]
+    )
     return filled.select("event_id", "value")
 
 
 @query("i3_forward_fill_in_buckets", FILLED)
 def forward_fill_in_buckets(spark, sf):
-    """The form for a user with a third of all events: work is split by user and day."""
+    """The same with finer pieces, by hour."""
     filled = O.forward_fill(
-        _purchases(spark, sf), ["user_id"], ["ts", "event_id"], ["value"], bucket=[F.to_date("ts")]
+        _purchases(spark, sf),
+        ["user_id"],
+        ["ts", "event_id"],
+        ["value"],
+        bucket=[F.date_trunc("hour", "ts")],
     )
     return filled.select("event_id", "value")
 
@@ -162,8 +169,12 @@ def forward_fill_in_buckets(spark, sf):
         OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS visit FROM events)""",
 )
 def forward_fill_with_restart(spark, sf):
-    events = _purchases(spark, sf).join(
-        table(spark, sf, "events").select("event_id", "event_type"), "event_id"
+    events = table(spark, sf, "events").select(
+        "event_id",
+        "user_id",
+        "ts",
+        "event_type",
+        F.when(F.col("event_type") == "purchase", F.col("value")).alias("value"),
     )
     filled = O.forward_fill(
         events,
@@ -171,7 +182,7 @@ def forward_fill_with_restart(spark, sf):
         ["ts", "event_id"],
         ["value"],
         restart=F.col("event_type") == "view",
-        bucket=[F.to_date("ts")],
+        bucket=[F.date_trunc("hour", "ts")],
     )
     return filled.select("event_id", "value")
 
