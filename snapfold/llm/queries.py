@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snapfold.llm.common import stage, table
 from snapfold.llm.decisions import STATS, document_stats, learn_rules
+from snapfold.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,3 +35,10 @@ def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"),
         (~failed & rules.keep()).alias("kept"),
     )
+
+
+@query
+def op2_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
