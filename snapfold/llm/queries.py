@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import bpe
+from snapfold.llm import bpe, rans
 from snapfold.llm.common import stage, table
 from snapfold.llm.decisions import STATS, document_stats, learn_rules
 from snapfold.llm.packing import packed_documents
 from snapfold.llm.simhash import near_duplicates
+from snapfold.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,3 +65,11 @@ def op6_rank_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per piece of every document, with its place in a sequence."""
     return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op1_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written as rANS blocks and read back."""
+    path = scratch_dir(spark, "rans")
+    rans.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return rans.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
