@@ -12,6 +12,7 @@ from snapfold.llm import bpe, rans
 from snapfold.llm.common import stage, table
 from snapfold.llm.decisions import STATS, document_stats, learn_rules
 from snapfold.llm.packing import packed_documents
+from snapfold.llm.pages import extract
 from snapfold.llm.simhash import near_duplicates
 from snapfold.session import scratch_dir
 
@@ -73,3 +74,10 @@ def op1_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "rans")
     rans.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=1)
     return rans.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op9_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
