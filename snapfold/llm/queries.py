@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from snapfold.llm import bpe, rans
 from snapfold.llm.common import stage, table
 from snapfold.llm.decisions import STATS, document_stats, learn_rules
+from snapfold.llm.embeddings import embedding_links
 from snapfold.llm.packing import packed_documents
 from snapfold.llm.pages import extract
 from snapfold.llm.simhash import near_duplicates
@@ -81,3 +82,10 @@ def op9_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     texts = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return embedding_links(vectors).select("vec_id", "n_links", "component_id", "kept")
