@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import bpe, rans
+from snapfold.llm import bpe, rans, suffixes
 from snapfold.llm.common import stage, table
 from snapfold.llm.decisions import STATS, document_stats, learn_rules
 from snapfold.llm.embeddings import embedding_links
 from snapfold.llm.packing import packed_documents
 from snapfold.llm.pages import extract
+from snapfold.llm.phrases import remove_repeats
 from snapfold.llm.simhash import near_duplicates
 from snapfold.session import scratch_dir
 
@@ -89,3 +90,17 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every embedding."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     return embedding_links(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op3_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left in every document after removing repeated windows."""
+    kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_words").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op7_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left in every document after removing repeated strings."""
+    kept = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
