@@ -33,12 +33,8 @@ def in_order(bucket: pa.Table, id_column: str, text: str) -> pa.Table:
 
 
 def with_buckets(docs: DataFrame, other: DataFrame, name: str, function: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
-    """Apply ``function(documents, rows of other)`` to every bucket that has documents."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return function(left, right)
-
-    return docs.groupBy(name).cogroup(other.groupBy(name)).applyInArrow(run, schema)
+    """Apply ``function(documents, rows of other)`` to every bucket; ``other`` has no bucket without documents."""
+    return docs.groupBy(name).cogroup(other.groupBy(name)).applyInArrow(lambda left, right: function(left, right), schema)
 
 
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -40,8 +40,8 @@ BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 class Words:
     """The words of several texts in a row, with hashes of their sequences."""
 
-    def __init__(self, texts: list[str | None]):
-        split = [(t or "").encode().split() for t in texts]
+    def __init__(self, texts: list[str | None], lower: bool = False):
+        split = [((t or "").encode().lower() if lower else (t or "").encode()).split() for t in texts]
         self.counts = np.fromiter(map(len, split), np.int64, len(split))
         self.ends = np.cumsum(self.counts)
         self.words = [w for words in split for w in words]

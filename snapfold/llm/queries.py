@@ -12,6 +12,7 @@ from snapfold.llm import bpe, rans, suffixes
 from snapfold.llm.common import stage, table
 from snapfold.llm.decisions import STATS, document_stats, learn_rules
 from snapfold.llm.embeddings import embedding_links
+from snapfold.llm.ngrams import score_documents
 from snapfold.llm.packing import packed_documents
 from snapfold.llm.pages import extract
 from snapfold.llm.phrases import remove_repeats
@@ -104,3 +105,9 @@ def op7_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left in every document after removing repeated strings."""
     kept = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query
+def op5_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document."""
+    return score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
