@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding with a rank queue under a hierarchical bitmap.
 
 The pairs of a pre-token wait in one bucket per merge rank.  A bitmap says
-which buckets hold something, and each level above says which words of the
-level below are not empty, so the next rank is three find-first-set steps away
-however long the pre-token is.  Buckets hold positions of a linked list; an
+which buckets hold something, and a level above says which words of the bitmap
+are not zero, so the next rank is two find-first-set steps away however long
+the pre-token is.  Buckets hold positions of a linked list; an
 entry whose pair has changed since is stale and skipped when it comes up.
 
 Defined edge cases: a null text is empty and has no ids; ids outside the
@@ -19,6 +19,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,61 +27,59 @@ from pyspark.sql import functions as F
 from snapfold.llm.common import free_name, slices
 from snapfold.llm.tokens import ChunkEncoder
 
-WORD_BITS = 64
+WORD_BITS = 256
+#: Short pre-tokens whose ids a worker keeps.
+SEEN = 300_000
 
 
 class RankQueue:
-    """Positions by rank; ``pop`` gives the lowest rank, and the leftmost position within it."""
+    """Positions by rank; ``pop`` gives the lowest rank, and the leftmost position within it.
+
+    Two levels of bits are enough for some 65,000 ranks: words of 256 ranks,
+    and one integer that says which words are not zero.
+    """
+
+    __slots__ = ("words", "filled", "buckets")
 
     def __init__(self, ranks: int):
-        self.levels: list[list[int]] = []
-        size = ranks
-        while not self.levels or size > 1:
-            size = -(-size // WORD_BITS)
-            self.levels.append([0] * size)
-        self.buckets: dict[int, list[int]] = {}
+        self.words = [0] * -(-ranks // WORD_BITS)
+        self.filled = 0
+        self.buckets: dict[int, int | list[int]] = {}  # one position, or a heap of several
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket is not None:
+        if bucket is None:
+            self.buckets[rank] = position
+            word = rank >> 8
+            self.words[word] |= 1 << (rank & 255)
+            self.filled |= 1 << word
+        elif type(bucket) is int:
+            self.buckets[rank] = [bucket, position] if bucket < position else [position, bucket]
+        else:
             heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        at = rank
-        for level in self.levels:
-            at, bit = at >> 6, 1 << (at & 63)
-            held = level[at]
-            level[at] = held | bit
-            if held:
-                break
-
-    def fill(self, ranks: list[int | None]) -> None:
-        """Push position i with rank ``ranks[i]`` for all i; positions come in order, so buckets are heaps as they are."""
-        for position, rank in enumerate(ranks):
-            if rank is not None:
-                if rank in self.buckets:
-                    self.buckets[rank].append(position)
-                else:
-                    self.push(rank, position)
 
     def pop(self) -> tuple[int, int] | None:
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return None
-            at = (at << 6) | ((word & -word).bit_length() - 1)
-        bucket = self.buckets[at]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[at]
-            down = at
-            for level in self.levels:
-                down, bit = down >> 6, 1 << (down & 63)
-                level[down] &= ~bit
-                if level[down]:
-                    break
-        return at, position
+        filled = self.filled
+        if not filled:
+            return None
+        first = filled & -filled
+        at = first.bit_length() - 1
+        word = self.words[at]
+        bit = word & -word
+        rank = (at << 8) + bit.bit_length() - 1
+        bucket = self.buckets[rank]
+        if type(bucket) is not int:
+            position = heappop(bucket)
+            if bucket:
+                return rank, position
+        else:
+            position = bucket
+        del self.buckets[rank]
+        word ^= bit
+        self.words[at] = word
+        if not word:
+            self.filled = filled ^ first
+        return rank, position
 
 
 class BytePairs:
@@ -88,13 +87,27 @@ class BytePairs:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern).findall
-        self.bytes_of = {i: token for token, i in ranks.items()}
         self.queue = RankQueue(max(ranks.values()) + 1)
+        self.seen: dict[str, list[int]] = {}
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            tokens[i] = token
+        self.lengths = np.array([len(t) for t in tokens])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
+        seen = self.seen
         for piece in self.split(text):
-            ids += self.encode_piece(piece.encode())
+            found = seen.get(piece)
+            if found is None:
+                found = self.encode_piece(piece.encode())
+                if len(piece) < 64:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen[piece] = found
+            ids += found
         return ids
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -103,13 +116,15 @@ class BytePairs:
         if whole is not None:
             return [whole]
         n = len(piece)
-        find = ranks.get
+        find, push, pop = ranks.get, queue.push, queue.pop
         end = list(range(1, n + 1))  # of the node that begins here
         before = list(range(-1, n - 1))
         pair = [find(piece[i : i + 2]) for i in range(n - 1)]
         pair.append(None)  # rank of the pair that begins here, None if it can't merge
-        queue.fill(pair)
-        while (found := queue.pop()) is not None:
+        for i, rank in enumerate(pair):
+            if rank is not None:
+                push(rank, i)
+        while (found := pop()) is not None:
             rank, i = found
             if pair[i] != rank:
                 continue
@@ -120,22 +135,27 @@ class BytePairs:
                 before[stop] = i
                 new = pair[i] = find(piece[i : end[stop]])
                 if new is not None:
-                    queue.push(new, i)
+                    push(new, i)
             else:
                 pair[i] = None
             h = before[i]
             if h >= 0:
                 new = pair[h] = find(piece[h:stop])
                 if new is not None:
-                    queue.push(new, h)
+                    push(new, h)
         ids, i = [], 0
         while i < n:
             ids.append(ranks[piece[i : end[i]]])
             i = end[i]
         return ids
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids in a row, and how many each id has."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths) or not self.lengths[ids].all()):
+            raise KeyError("an id is outside the vocabulary")
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        return self.bytes[np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)], lengths
 
 
 @lru_cache(maxsize=2)
@@ -148,7 +168,7 @@ def byte_pairs(path: str, pattern: str) -> BytePairs:
 @lru_cache(maxsize=2)
 def _chunks(path: str, pattern: str) -> ChunkEncoder:
     pairs = byte_pairs(path, pattern)
-    return ChunkEncoder(lambda chunks: [pairs.encode(c) for c in chunks], True)
+    return ChunkEncoder(lambda chunks: [pairs.encode(c) for c in chunks], True, most=400_000)
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -179,13 +199,14 @@ def decode(encoded: DataFrame, ranks: str, pattern: str, ids: str = "ids", decod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = byte_pairs(ranks, pattern)
-        for batch in batches:
-            out = [pairs.decode(i or ()) for i in _lists(batch.column(ids))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, decoded])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                lists = batch.column(ids)
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                raw, lengths = pairs.decode(lists.flatten().to_numpy(zero_copy_only=False))
+                ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+                out = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([*batch.columns, out.cast(pa.binary())], names=[*batch.schema.names, decoded])
 
     return encoded.mapInArrow(run, schema)
-
-
-def _lists(column: pa.Array) -> Iterator[list[int]]:
-    for at in range(0, len(column), 256):
-        yield from column.slice(at, 256).to_pylist()

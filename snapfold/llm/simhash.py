@@ -104,13 +104,13 @@ def fingerprint_links(prints: DataFrame, budget: int = 4, unit_rows: int = 1 <<
             break
         calm = units.join(heavy, unit, "left_anti")
         done = calm if done is None else done.unionByName(calm)
-        child = F.shiftrightunsigned(F.col("code"), F.lit(BITS) - F.col("depth") - step)
+        child = F.expr(f"shiftrightunsigned(code, {BITS - step} - depth)")
         spent = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
         masks = F.element_at(
             F.array(*[F.array(*[F.lit(m).cast("long") for m in near[e]]) for e in range(budget, -1, -1)]),
             (spent + 1).cast("int"),
         )
-        side_a = F.shiftrightunsigned(F.col("code"), (F.lit(BITS) - F.col("depth")).cast("int")) == F.col("a")
+        side_a = F.expr(f"shiftrightunsigned(code, {BITS} - depth)") == F.col("a")
         flip = F.col("a").bitwiseXOR(F.col("b"))
         split = (
             units.join(heavy, unit)
