@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.llm.common import free_name, slices
+from snapfold.llm.common import free_name, null, slices
 from snapfold.llm.tokens import ChunkEncoder
 
 WORD_BITS = 256
@@ -179,7 +179,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: s
     patterns do: chunks of text between such places are encoded once each.
     """
     rest = [c for c in docs.columns if c not in (text, ids)]
-    schema = docs.select(*rest, F.array().cast("array<int>").alias(ids)).schema
+    schema = docs.select(*rest, null("array<int>").alias(ids)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _chunks(ranks, pattern)
@@ -195,7 +195,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: s
 def decode(encoded: DataFrame, ranks: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes of its ids appended (binary: an id list need not end at a character)."""
     decoded = free_name(encoded, decoded)
-    schema = encoded.select("*", F.lit(b"").alias(decoded)).schema
+    schema = encoded.select("*", null("binary").alias(decoded)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = byte_pairs(ranks, pattern)

@@ -62,6 +62,11 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
+def null(kind: str) -> F.Column:
+    """A null of a type, for the schemas of Python outputs: a literal that is not null would make its column so."""
+    return F.lit(None).cast(kind)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added while ``df`` has such a column (case-insensitively)."""
     taken = {c.lower() for c in df.columns}

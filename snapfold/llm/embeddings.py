@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.llm.common import free_name, stage
+from snapfold.llm.common import free_name, null, stage
 from snapfold.llm.components import components
 from snapfold.llm.simhash import _unite
 
@@ -147,7 +147,7 @@ def embedding_links(
     kept = [c for c in vectors.columns if c.lower() not in added]
     row, key, unit = (free_name(vectors, n) for n in ("_row", "_key", "_unit"))
     read = vectors.select(*kept).withColumn(row, F.monotonically_increasing_id())
-    schema = read.select("*", F.lit(b"").alias(key), F.array().cast("array<double>").alias(unit)).schema
+    schema = read.select("*", null("binary").alias(key), null("array<double>").alias(unit)).schema
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.llm.common import free_name, slices, stage
+from snapfold.llm.common import free_name, null, slices, stage
 
 # What HTML's elements are, and the names that sites give to what is not the article.
 CONTAINERS = frozenset("html body main article section div td center".split())
@@ -64,7 +64,7 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
     """``(container path, text, unlinked characters)`` of every block outside boilerplate, in page order."""
     out: list[tuple[str, str, int]] = []
     # Open elements: tag, path, number of left-out elements up to here, number of links.
-    stack: list[tuple[str, str, int, int]] = [("", "", 0, 0)]
+    stack: list[tuple[str, str, int, int]] = [("", "page", 0, 0)]
     opened: dict[str, int] = {}
     text: list[str] = []
     unlinked = 0
@@ -165,7 +165,7 @@ def page_blocks(pages: DataFrame, html: str = "html", blocks: str = "blocks", ch
     """``pages`` without the html, with its blocks and the container it votes for."""
     rest = [c for c in pages.columns if c not in (html, blocks, chosen)]
     kind = "array<struct<path:string,text:string>>"
-    schema = pages.select(*rest, F.lit(None).cast(kind).alias(blocks), F.lit("").alias(chosen)).schema
+    schema = pages.select(*rest, null(kind).alias(blocks), null("string").alias(chosen)).schema
     struct = pa.struct([("path", pa.string()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.llm.buckets import bucketed, covered, in_order, minimizers, runs, with_buckets
-from snapfold.llm.common import batch_of, free_name, slices, stage
+from snapfold.llm.common import batch_of, free_name, null, slices, stage
 
 #: Odd multipliers of the two rolling hashes.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -197,10 +197,10 @@ def remove_repeats(
 
     out = marked.select(
         *kept,
-        F.lit(0).cast("long").alias("n_words"),
-        F.lit(0).cast("long").alias("n_removed"),
-        F.lit("").alias("kept_words"),
-        F.lit("").alias("kept_text"),
+        null("long").alias("n_words"),
+        null("long").alias("n_removed"),
+        null("string").alias("kept_words"),
+        null("string").alias("kept_text"),
     ).schema
 
     def cut(bucket_docs: pa.Table, bucket_marks: pa.Table) -> pa.Table:

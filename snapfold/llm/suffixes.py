@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.llm.buckets import bucketed, covered, in_order, minimizers, runs, with_buckets
-from snapfold.llm.common import batch_of, free_name, stage
+from snapfold.llm.common import batch_of, free_name, null, stage
 
 CELL = 16
 #: Surroundings that a shard sorts at once, unless one anchor has more.
@@ -299,7 +299,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, ancho
     verdicts = stage(repeated.unionByName(partial.join(repeated.select("a", "c1", "c2"), ["a", "c1", "c2"], "left_anti")), "verdicts")
     marks = stage(anchors.join(verdicts, ["a", "c1", "c2"]).select(bucket, "docs", "places", "low", "high"), "byte-marks")
     out = marked.select(
-        *kept, *(F.lit(0).cast("long").alias(n) for n in added[:3]), F.lit(b"").alias("kept_bytes")
+        *kept, *(null("long").alias(n) for n in added[:3]), null("binary").alias("kept_bytes")
     ).schema
 
     def cut(group: pa.Table, rows: pa.Table) -> pa.Table:
