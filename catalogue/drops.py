@@ -16,7 +16,7 @@ from snapfold.functions import column
 from snapfold.plans import constants as K
 from snapfold.plans.build import ingest
 from snapfold.plans.debts import debts
-from snapfold.plans.invoices import invoices
+from snapfold.plans.invoices import invoice_lines, invoices
 from snapfold.plans.registrations import players, registrations
 from snapfold.plans.teams import team_details, team_lists
 from snapfold.session import scratch_dir
@@ -380,7 +380,7 @@ def cleaned_lake(spark: SparkSession, sf_dir: str) -> Lake:
     )
     lake.refresh(players(everyone), "silver", "silver_players", ["Season"])
     lake.refresh(
-        invoices(lake.ingested("bronze_registration_invoices")), "silver", "silver_invoices", ["Season"]
+        invoices(invoice_lines(lake.ingested("bronze_registration_invoices")).lines), "silver", "silver_invoices", ["Season"]
     )
     lake.refresh(debts(lake.ingested("bronze_players_debts")), "silver", "silver_players_debts", ["Season"])
     lake.refresh(team_details(lake.ingested("bronze_team_details")), "silver", "silver_team_details")

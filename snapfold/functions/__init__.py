@@ -6,6 +6,7 @@ from snapfold.functions.keys import fallback_key, hash_key
 from snapfold.functions.measures import (
     as_of_date,
     days_since,
+    exact_sum,
     from_cents,
     next_period,
     row_sum,
@@ -40,6 +41,7 @@ __all__ = [
     "clean_columns",
     "column",
     "days_since",
+    "exact_sum",
     "fallback_key",
     "false_if_null",
     "fill_defaults",

@@ -50,6 +50,11 @@ def to_cents(money: Column) -> Column:
     return F.round(money * 100).cast("long")
 
 
+def exact_sum(money: Column) -> Column:
+    """Sum of two-decimal money as a double, the same in any row order."""
+    return F.sum(money.cast("decimal(18,2)")).cast("double")
+
+
 def from_cents(cents: Column) -> Column:
     """Whole cents back to a double amount."""
     return cents / F.lit(100.0)

@@ -32,8 +32,8 @@ def replace_sentinel(col: Column, sentinel: str, replacement: str | None) -> Col
 
 
 def null_if_listed(col: Column, denied: Iterable[str]) -> Column:
-    """NULL where the value is on the deny-list."""
-    values = list(denied)
+    """NULL where the value is on the deny-list; a None in the list denies nothing."""
+    values = [v for v in denied if v is not None]
     return F.when(~col.isin(values), col) if values else col
 
 

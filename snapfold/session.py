@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,10 +38,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below ``spark.checkpoint.dir``.
 
-    That setting names the folder every executor can reach.  Only a session
-    without it (a local test) falls back to a temporary folder.
+    That setting names the folder every executor can reach.  A session without
+    it uses a folder of its warehouse, which tables share in the same way.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="snapfold-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby, islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ RESCUED = "_rescued_data"
 FILE_ORDER = ("_block_start", "_row_seq")
 PROVENANCE = (SOURCE_FILE, INGEST_TS, RESCUED, *FILE_ORDER)
 
-MAX_SIGNATURES = 1_000
+# Paths named in one read, so that no list grows with the number of files.
+FILES_PER_READ = 10_000
 
 
 @dataclass(frozen=True)
@@ -150,25 +152,27 @@ def read_snapshots(
     return rows
 
 
+def read_each(files: DataFrame, dialect: Dialect = WINDOWS_1252) -> Iterator[DataFrame]:
+    """Rows of the files named in ``files.path``, a frame per header and so many files.
+
+    Spark binds CSV cells to a given schema by position, so files of different
+    headers are read apart.  File names and headers pass through the driver one
+    frame at a time, as for any file listing; rows never do.
+    """
+    spark = files.sparkSession
+    headers = read_headers(files, dialect).sort("header", "path").toLocalIterator()
+    for header, found in groupby(headers, key=lambda r: r.header):
+        while paths := [r.path for r in islice(found, FILES_PER_READ)]:
+            yield _read_one(spark, paths, header, dialect)
+
+
 def read_files(files: DataFrame, dialect: Dialect = WINDOWS_1252) -> DataFrame | None:
-    """Rows of the files named in ``files.path``; None where none has a header.
+    """The frames of ``read_each`` united by name; None where no file has a header.
 
-    Spark binds CSV cells to a given schema by position.  Files are therefore
-    grouped by header, read once per distinct header, and united by name; a
-    column a file lacks is NULL in its rows.
+    A column a file lacks is NULL in its rows; names that differ in case only are one column.
     """
-    headers = read_headers(files, dialect)
-    # File names and headers only, as for any file listing; never rows.
-    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    signatures = groups.limit(MAX_SIGNATURES + 1).collect()
-    if len(signatures) > MAX_SIGNATURES:
-        raise ValueError(f"more than {MAX_SIGNATURES} different headers")
-    if not signatures:
-        return None
-    signatures.sort(key=lambda s: s.paths[0])
-    return conform_union(
-        [_read_one(files.sparkSession, s.paths, s.header, dialect) for s in signatures]
-    )
+    frames = list(read_each(files, dialect))
+    return conform_union(frames) if frames else None
 
 
 def _read_one(

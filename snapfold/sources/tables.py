@@ -5,16 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapfold.functions.text import column
-from snapfold.sources.snapshots import INGEST_TS
+from snapfold.sources.snapshots import INGEST_TS, PROVENANCE
 
 BATCH = "_batch_id"
 SEASON = "_season"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of the store that Spark itself would read."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the datasets live: ``<root>/<layer>/<name>``."""
@@ -44,12 +54,13 @@ class Lake:
     # schema without opening every file's footer.
 
     def append_batch(
-        self, df: DataFrame, name: str, batch: int, season: int | None = None
+        self, df: DataFrame, name: str, batch: int, season: int | None = None, more: bool = False
     ) -> None:
         """Add one ingest batch, to one season of the table if it has seasons.
 
         Repeating a batch replaces it.  Batch 0 starts the table (or season), so
         a run with a new checkpoint replaces everything an earlier one has left.
+        A batch of several frames is one frame and then others with ``more``.
         """
         fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
         noted = self.spark.createDataFrame(fields, "position int, name string, type string")
@@ -57,7 +68,9 @@ class Lake:
             folder = self._ingest_path(name, part)
             if season is not None:
                 folder = f"{folder}/{SEASON}={season}"
-            if batch == 0:
+            if more:
+                frame.write.mode("append").parquet(f"{folder}/{BATCH}={batch}")
+            elif batch == 0:
                 (
                     frame.withColumn(BATCH, F.lit(0))
                     .write.mode("overwrite")
@@ -68,6 +81,16 @@ class Lake:
             else:
                 frame.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch}")
 
+    def clear(self, name: str, season: int | None = None) -> None:
+        """Leave no row in an ingest table, or in one season of it."""
+        kinds = ("string", "timestamp", "string", "long", "long")
+        schema = ", ".join(f"{c} {kind}" for c, kind in zip(PROVENANCE, kinds))
+        self.append_batch(self.spark.createDataFrame([], schema), name, 0, season)
+
+    def has(self, name: str) -> bool:
+        """Whether anything has been ingested under the name."""
+        return exists(self.spark, self._ingest_path(name, "columns"))
+
     def ingested(self, name: str) -> DataFrame:
         """All rows of an ingest table; a column a batch lacks is NULL there."""
         types, seasonal = {}, False
@@ -99,9 +122,12 @@ class Lake:
             .agg(F.min(F.struct(BATCH, "position")).alias("first_seen"))
             .collect()  # one row per season and column
         )
+        # A header that changes its case is still that column, under its first spelling.
+        spelling: dict[str, str] = {}
         columns: dict[int | None, dict[str, str]] = {}
-        for row in sorted(first_seen, key=lambda r: r.first_seen):
-            columns.setdefault(row.season, {})[row["name"]] = row.type
+        for row in sorted(first_seen, key=lambda r: (r.first_seen, r.season or 0)):
+            name = spelling.setdefault(row["name"].lower(), row["name"])
+            columns.setdefault(row.season, {}).setdefault(name, row.type)
         return columns
 
     def ingested_files(self, name: str) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from snapfold.sources.snapshots import WINDOWS_1252, Dialect, read_files
-from snapfold.sources.tables import Lake
+from snapfold.sources.snapshots import WINDOWS_1252, Dialect, read_each
+from snapfold.sources.tables import Lake, exists
 
 # Schema of Spark's binary file source.  Only ``path`` is used, and the source
 # reads no content that is not selected.
@@ -32,13 +32,20 @@ def stream_snapshots(
     season of the table, which reads as its ``_season`` column.
 
     ``run`` names the checkpoint.  A new name starts over and replaces the table by
-    all files present, which is the full reload.
+    all files present, even if there is none, which is the full reload.
     """
+    checkpoint = f"{lake.path('checkpoints', table)}/{season or 'all'}/{run}"
+    if lake.has(table) and not exists(lake.spark, checkpoint):
+        lake.clear(table, season)
 
     def ingest(arrivals: DataFrame, batch: int) -> None:
-        rows = read_files(arrivals, dialect)
-        if rows is not None:
-            lake.append_batch(rows, table, batch, season)
+        # One header at a time, however many a batch brings.
+        written = False
+        for rows in read_each(arrivals, dialect):
+            lake.append_batch(rows, table, batch, season, more=written)
+            written = True
+        if not written and batch == 0 and lake.has(table):
+            lake.clear(table, season)
 
     return (
         lake.spark.readStream.format("binaryFile")
@@ -50,7 +57,7 @@ def stream_snapshots(
         .load(folder)
         .select("path")
         .writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", f"{lake.path('checkpoints', table)}/{season or 'all'}/{run}")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
