@@ -24,12 +24,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.llm.common import free_name, null, slices
+from snapfold.llm.common import ENCODE_BYTES, free_name, null, slices
 from snapfold.llm.tokens import ChunkEncoder
 
 WORD_BITS = 256
 #: Short pre-tokens whose ids a worker keeps.
-SEEN = 300_000
+SEEN = 400_000
 
 
 class RankQueue:
@@ -58,6 +58,23 @@ class RankQueue:
         else:
             heappush(bucket, position)
 
+    def fill(self, ranks: list[int | None]) -> None:
+        """Push position i with ``ranks[i]`` for all i that have one, in order; the queue is empty before."""
+        buckets, words, filled = self.buckets, self.words, self.filled
+        for position, rank in enumerate(ranks):
+            if rank is not None:
+                bucket = buckets.get(rank)
+                if bucket is None:
+                    buckets[rank] = position
+                    word = rank >> 8
+                    words[word] |= 1 << (rank & 255)
+                    filled |= 1 << word
+                elif type(bucket) is int:
+                    buckets[rank] = [bucket, position]
+                else:  # ascending positions are a heap as they are
+                    bucket.append(position)
+        self.filled = filled
+
     def pop(self) -> tuple[int, int] | None:
         filled = self.filled
         if not filled:
@@ -121,9 +138,7 @@ class BytePairs:
         before = list(range(-1, n - 1))
         pair = [find(piece[i : i + 2]) for i in range(n - 1)]
         pair.append(None)  # rank of the pair that begins here, None if it can't merge
-        for i, rank in enumerate(pair):
-            if rank is not None:
-                push(rank, i)
+        queue.fill(pair)
         while (found := pop()) is not None:
             rank, i = found
             if pair[i] != rank:
@@ -168,7 +183,7 @@ def byte_pairs(path: str, pattern: str) -> BytePairs:
 @lru_cache(maxsize=2)
 def _chunks(path: str, pattern: str) -> ChunkEncoder:
     pairs = byte_pairs(path, pattern)
-    return ChunkEncoder(lambda chunks: [pairs.encode(c) for c in chunks], True, most=400_000)
+    return ChunkEncoder(lambda chunks: [pairs.encode(c) for c in chunks], True, most=600_000)
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -183,7 +198,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _chunks(ranks, pattern)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, ENCODE_BYTES):
             flat, counts = encoder(batch.column(text))
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32)))

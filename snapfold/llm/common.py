@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text bytes handled at once inside a task.
 SLICE_BYTES = 4 << 20
+#: The same where distinct chunks of text are looked up, which larger pieces make fewer of.
+ENCODE_BYTES = 8 << 20
 
 
 def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:

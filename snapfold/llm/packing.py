@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.llm.common import slices, stage
+from snapfold.llm.common import ENCODE_BYTES, slices, stage
 from snapfold.llm.tokens import library_encoder, with_end
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -34,7 +34,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = 0, length: int = 2048, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer, True)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODE_BYTES):
             ids, counts = with_end(*encoder(batch.column("text")), end)
             begins = np.cumsum(counts) - counts
             parts = -(-counts // length)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from snapfold.llm.common import batch_of, slices, stage
+from snapfold.llm.common import ENCODE_BYTES, batch_of, slices, stage
 from snapfold.llm.tokens import library_encoder, with_end
 
 SCALE = 20
@@ -177,7 +177,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, text: str
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer, False)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODE_BYTES):
             ids, counts = with_end(*encoder(batch.column("text")), end)
             raw = ids.astype("<u4").tobytes()
             stops = (4 * np.cumsum(counts)).tolist()

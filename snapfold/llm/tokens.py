@@ -39,33 +39,42 @@ class ChunkEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
+        # Chunks that follow a space, without it, and chunks as they are.
+        self.spaced: dict[str, int] = {}
+        self.plain: dict[str, int] = {}
         self.starts = np.zeros(1 << 12, np.int64)
         self.lengths = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def _entries(self, chunks: list[str]) -> np.ndarray:
-        known = self.known
-        new = list(dict.fromkeys(c for c in chunks if c not in known))
-        if len(known) + len(new) > self.most:
+    def _entries(self, spaced: list[str], plain: list[str]) -> np.ndarray:
+        """Places in the tables of ids, first of the chunks after a space, then of the plain ones."""
+        found = [*map(self.spaced.get, spaced), *map(self.plain.get, plain)]
+        if None not in found:
+            return np.array(found, dtype=np.int64)
+        if len(self.spaced) + len(self.plain) + found.count(None) > self.most:
             self._reset()
-            known = self.known
-            new = list(dict.fromkeys(chunks))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            lists = self.encode(part)
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(lengths.sum()))
-            first, end = len(known), self.used + len(flat)
-            self.ids = _grown(self.ids, end)
-            self.starts, self.lengths = _grown(self.starts, first + len(part)), _grown(self.lengths, first + len(part))
-            self.ids[self.used : end] = flat
-            self.starts[first : first + len(part)] = self.used + np.cumsum(lengths) - lengths
-            self.lengths[first : first + len(part)] = lengths
-            known.update(zip(part, range(first, first + len(part))))
-            self.used = end
-        return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+            found = [None] * len(found)
+        split = len(spaced)
+        for known, chunks, prefix, given in ((self.spaced, spaced, " ", found[:split]), (self.plain, plain, "", found[split:])):
+            new = list(dict.fromkeys(c for c, at in zip(chunks, given) if at is None))
+            for at in range(0, len(new), 4096):
+                part = new[at : at + 4096]
+                self._learn(known, part, [c if not prefix or c[:1] == "\n" else prefix + c for c in part])
+        return np.array([*map(self.spaced.__getitem__, spaced), *map(self.plain.__getitem__, plain)], dtype=np.int64)
+
+    def _learn(self, known: dict[str, int], keys: list[str], chunks: list[str]) -> None:
+        lists = self.encode(chunks)
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.array([i for ids in lists for i in ids], dtype=np.uint32)
+        first, end = len(self.spaced) + len(self.plain), self.used + len(flat)
+        self.ids = _grown(self.ids, end)
+        self.starts, self.lengths = _grown(self.starts, first + len(keys)), _grown(self.lengths, first + len(keys))
+        self.ids[self.used : end] = flat
+        self.starts[first : first + len(keys)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first : first + len(keys)] = lengths
+        known.update(zip(keys, range(first, first + len(keys))))
+        self.used = end
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (unsigned 32 bit) and the number of ids of each text."""
@@ -84,8 +93,8 @@ class ChunkEncoder:
         codes = coded.indices.to_numpy()
         firsts = [words[c] for c in codes[offsets[:-1]].tolist()] if self.joined else []
         rest = [CHUNK.findall(t) for t in texts.take(pa.array(odd)).to_pylist()]
-        keys = [w if w[:1] == "\n" else " " + w for w in words] if self.joined else words
-        found = self._entries([*keys, *firsts, *(c for chunks in rest for c in chunks)])
+        odd_chunks = [c for chunks in rest for c in chunks]
+        found = self._entries(words, [*firsts, *odd_chunks]) if self.joined else self._entries([], words)
         entries = found[: len(words)][codes]
         if self.joined:
             entries[offsets[:-1]] = found[len(words) : len(words) + len(firsts)]
