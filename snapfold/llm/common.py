@@ -35,7 +35,16 @@ def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
         df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Free the files of staged tables that nothing reads any more, by overwriting them with no rows."""
+    for staged in tables:
+        empty = staged.sparkSession.createDataFrame([], staged.schema)
+        empty.write.mode("overwrite").parquet(staged.staged_path)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

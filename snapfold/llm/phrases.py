@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.llm.buckets import bucketed, covered, in_order, minimizers, runs, with_buckets
-from snapfold.llm.common import batch_of, free_name, null, slices, stage
+from snapfold.llm.common import batch_of, discard, free_name, null, slices, stage
 
 #: Odd multipliers of the two rolling hashes.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -127,6 +127,7 @@ def remove_repeats(
     sampled = stage(sampled_phrases(marked, text, bucket, window, phrase), "phrases")
     recurring = stage(sampled.groupBy("hash").agg(F.sum("n").alias("n")).where("n >= 2").select("hash"), "recurring")
     confirmed = stage(sampled.join(recurring, "hash", "left_semi").select(bucket, "phrase"), "confirmed")
+    discard(sampled, recurring)
 
     kind = marked.schema[id_column].dataType.simpleString()
     keys = marked.select(bucket, F.col(id_column).alias("id"), F.col(text).alias("text"))
@@ -177,6 +178,7 @@ def remove_repeats(
 
     places = f"{bucket} int, doc int, start int, stop int"
     windows = stage(with_buckets(keys, confirmed, bucket, find, f"{places}, id {kind}, h1 long, h2 long"), "windows")
+    discard(confirmed)
     by_hash = windows.where("h1 IS NOT NULL").repartition("h1", "h2")
     by_hash = by_hash.sortWithinPartitions("h1", "h2", F.col("id").asc_nulls_last(), bucket, "doc", "start")
 
@@ -194,6 +196,7 @@ def remove_repeats(
 
     repeated = by_hash.mapInArrow(not_first, places)
     marks = stage(repeated.unionByName(windows.where("h1 IS NULL").select(bucket, "doc", "start", "stop")), "marks")
+    discard(windows)
 
     out = marked.select(
         *kept,

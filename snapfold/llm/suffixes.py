@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.llm.buckets import bucketed, covered, in_order, minimizers, runs, with_buckets
-from snapfold.llm.common import batch_of, free_name, null, stage
+from snapfold.llm.common import batch_of, discard, free_name, null, stage
 
 CELL = 16
 #: Surroundings that a shard sorts at once, unless one anchor has more.
@@ -273,6 +273,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, ancho
         )
 
     around = stage(with_buckets(texts, wanted, bucket, fetch, around_ddl), "surroundings-bytes")
+    discard(several, wanted)
     verdict_schema = pa.schema([("a", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("low", pa.list_(pa.int32())), ("high", pa.list_(pa.int32()))])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,6 +299,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, ancho
     # Surroundings found twice need no spans: everything through their anchor repeats.
     verdicts = stage(repeated.unionByName(partial.join(repeated.select("a", "c1", "c2"), ["a", "c1", "c2"], "left_anti")), "verdicts")
     marks = stage(anchors.join(verdicts, ["a", "c1", "c2"]).select(bucket, "docs", "places", "low", "high"), "byte-marks")
+    discard(anchors, classes, around, verdicts)
     out = marked.select(
         *kept, *(null("long").alias(n) for n in added[:3]), null("binary").alias("kept_bytes")
     ).schema
