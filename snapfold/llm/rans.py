@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from snapfold.llm.common import ENCODE_BYTES, batch_of, slices, stage
-from snapfold.llm.tokens import library_encoder, with_end
+from snapfold.llm.tokens import library_encoder, vocabulary_size, with_end
 
 SCALE = 20
 LANES = 32
@@ -174,13 +174,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, text: str
     """Encode every text, append ``end``, and write the corpus folder ``path`` in ascending id order."""
     spark = docs.sparkSession
     plain = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
+    # Ids are staged and shuffled in two bytes where the vocabulary allows.
+    kind_of_id = "<u2" if vocabulary_size(tokenizer) <= 1 << 16 and end < 1 << 16 else "<u4"
+    id_bytes = int(kind_of_id[2])
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer, False)
         for batch in slices(batches, "text", ENCODE_BYTES):
             ids, counts = with_end(*encoder(batch.column("text")), end)
-            raw = ids.astype("<u4").tobytes()
-            stops = (4 * np.cumsum(counts)).tolist()
+            raw = ids.astype(kind_of_id).tobytes()
+            stops = (id_bytes * np.cumsum(counts)).tolist()
             parts = [raw[a:b] for a, b in zip([0, *stops], stops)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(parts, pa.binary()), pa.array(counts)], names=["doc_id", "ids", "n_tokens"])
 
@@ -190,7 +193,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, text: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in slices(batches, "ids"):
-            found = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype="<u4"))
+            found = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype=kind_of_id))
             if len(found) > len(total):
                 total, found = found, total
             total[: len(found)] += found
@@ -228,10 +231,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, text: str
         shard = TaskContext.get().partitionId()
         at = number = 0
         for group in _block_groups(batches):
-            coded = coder.encode([np.frombuffer(raw, dtype="<u4") for _, _, raw in group])
+            blocks_ = [np.frombuffer(raw, dtype=kind_of_id) for _, _, raw in group]
+            coded = coder.encode(blocks_)
             rows = []
-            for (ids, sizes, raw), (words, states, word_at) in zip(group, coded):
-                rows.append((shard, number, at, sum(sizes), ids, sizes, words, states, word_at, zlib.crc32(raw)))
+            for (ids, sizes, _), block_ids, (words, states, word_at) in zip(group, blocks_, coded):
+                crc = zlib.crc32(block_ids.astype("<u4").tobytes())
+                rows.append((shard, number, at, sum(sizes), ids, sizes, words, states, word_at, crc))
                 number, at = number + 1, at + sum(sizes)
             yield batch_of(schema, *zip(*rows))
 

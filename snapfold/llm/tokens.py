@@ -140,6 +140,13 @@ def library_encoder(path: str, joined: bool) -> ChunkEncoder:
     return ChunkEncoder(encode, joined)
 
 
+def vocabulary_size(path: str) -> int:
+    """Number of ids of a ``tokenizers`` file, those of special tokens included."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The same ids with ``end`` after each text, and the new counts."""
     counts = counts + 1
