@@ -111,3 +111,28 @@ def op7_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model score of every document."""
     return score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ANSWERS["op3_phrase_automata"] = r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (SELECT doc_id, s, array_to_string(w[s : s + 19], ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
+    again AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM windows) WHERE r > 1),
+    gone AS (SELECT DISTINCT doc_id, s + i AS p FROM again, (SELECT unnest(range(20)) AS i)),
+    words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1) USING (doc_id)
+"""
+
+ANSWERS["op10_cover_tree"] = """
+    WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+        ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1) USING (vec_id)
+    LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1) USING (vec_id)
+"""
