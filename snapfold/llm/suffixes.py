@@ -32,6 +32,8 @@ from snapfold.llm.common import batch_of, discard, free_name, null, stage
 CELL = 16
 #: Surroundings that a shard sorts at once, unless one anchor has more.
 BATCH = 1_500
+#: Anchors with more surroundings than this are cut by what those agree on.
+HOT_ANCHOR = 2_000
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -102,8 +104,21 @@ def suffix_array(symbols: list[int]) -> list[int]:
     return result
 
 
-def shared_windows(left: np.ndarray, right: np.ndarray, left_size: np.ndarray, right_size: np.ndarray, length: int) -> np.ndarray:
-    """``[i, r]`` true if the string that begins ``r`` bytes before anchor i has an equal in other surroundings.
+def offset_ranges(reach: int) -> list[tuple[int, int]]:
+    """Ranges that cover the offsets 0 .. ``reach``, single at both ends and doubling towards the middle."""
+    middle, low, out = reach // 2, 0, []
+    while low <= middle:
+        high = min(max(low, 2 * low - 1), middle)
+        out.append((low, high))
+        low = high + 1
+    mirrored = [(max(reach - high, middle + 1), reach - low) for low, high in out]
+    return out + [(low, high) for low, high in mirrored if low <= high]
+
+
+def shared_windows(
+    left: np.ndarray, right: np.ndarray, left_size: np.ndarray, right_size: np.ndarray, length: int, unit: np.ndarray
+) -> np.ndarray:
+    """``[i, r]`` true if the string that begins ``r`` bytes before anchor i has an equal in other surroundings of its unit.
 
     ``left`` (reversed) and ``right`` (from the anchor on): bytes, a row for
     each surroundings, zero beyond their sizes.
@@ -125,6 +140,7 @@ def shared_windows(left: np.ndarray, right: np.ndarray, left_size: np.ndarray, r
             number = np.zeros((m, len(r)), dtype=np.int64)
             number[order[1:]] = np.cumsum(shared[:, None] < depth[None, :], axis=0)
             keys = keys * m + number
+        keys = keys * (int(unit.max()) + 1) + unit[:, None]
         fits = (left_size[:, None] >= r) & (right_size[:, None] >= length - r)
         keys = np.where(fits, keys, -1 - np.arange(m)[:, None])
         order = np.argsort(keys, axis=0, kind="stable")
@@ -192,7 +208,9 @@ class Bytes:
         return values ^ (values >> np.uint64(32))
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, anchor: int = 64) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, text: str = "text", length: int = 400, anchor: int = 64, hot_anchor: int = HOT_ANCHOR
+) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_bytes`` (binary) appended; input columns of these names are replaced.
 
     Every byte covered by a string of ``length`` bytes that also begins
@@ -275,9 +293,41 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, ancho
     around = stage(with_buckets(texts, wanted, bucket, fetch, around_ddl), "surroundings-bytes")
     discard(several, wanted)
     verdict_schema = pa.schema([("a", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("low", pa.list_(pa.int32())), ("high", pa.list_(pa.int32()))])
+    verdict_ddl = "a long, c1 long, c2 long, low array<int>, high array<int>"
+    ranges = offset_ranges(reach)
+
+    # Surroundings of a hot anchor agree only in part.  Strings whose offset is in one range share its core, the
+    # bytes all of them hold; so surroundings are keyed by their core in each range, and those alone with theirs
+    # drop out.  A range of one offset is settled by the key itself, the others are compared core by core.
+    hot = stage(around.groupBy("a").count().where(F.col("count") > hot_anchor).select("a"), "hot-anchors")
+    cores_schema = pa.schema([*((n, pa.int64()) for n in ("a", "c1", "c2")), ("part", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64())])
+
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = list(zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()))
+            for part, (low, high) in enumerate(ranges):
+                fit = [k for k, (x, y) in enumerate(sides) if len(x) >= low and len(y) >= length - high]
+                raw = b"".join(xxhash.xxh3_128_digest(sides[k][0][:low] + sides[k][1][: length - high]) for k in fit)
+                keys = np.frombuffer(raw, "<i8").reshape(-1, 2)
+                own = batch.select(["a", "c1", "c2"]).take(pa.array(fit, pa.int64()))
+                yield batch_of(cores_schema, *own.columns, np.full(len(fit), part, np.int32), keys[:, 0], keys[:, 1])
+
+    core = ["a", "part", "k1", "k2"]
+    keyed = stage(around.join(hot, "a").mapInArrow(cores, "a long, c1 long, c2 long, part int, k1 long, k2 long"), "cores")
+    agreed = stage(keyed.groupBy(*core).count().where("count > 1").drop("count"), "shared-cores")
+    together = stage(keyed.join(agreed, core), "kept-cores")
+    single = [k for k, (low, high) in enumerate(ranges) if low == high]
+    low_of = F.element_at(F.array(*[F.lit(low) for low, _ in ranges]), F.col("part") + 1)
+    settled = together.where(F.col("part").isin(single)).select(
+        "a", "c1", "c2", F.array(low_of).alias("low"), F.array(low_of + 1).alias("high")
+    )
+    split = together.where(~F.col("part").isin(single)).join(around, ["a", "c1", "c2"])
+    whole = around.join(hot, "a", "left_anti").select(
+        "a", "c1", "c2", F.lit(None).cast("int").alias("part"), F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"), "left", "right"
+    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_anchors(batches):
+        for rows, unit in _whole_units(batches, core):
             sides, sizes = [], []
             for name, width in (("left", reach), ("right", length)):
                 values = rows.column(name).to_pylist()
@@ -286,20 +336,24 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, ancho
                     side[k, : len(v)] = np.frombuffer(v, np.uint8)
                 sides.append(side)
                 sizes.append(np.fromiter(map(len, values), np.int64, len(values)))
-            found = shared_windows(*sides, *sizes, length)
+            found = shared_windows(*sides, *sizes, length, unit)
+            for k, part in enumerate(rows.column("part").to_pylist()):
+                if part is not None:
+                    low, high = ranges[part]
+                    found[k, :low] = found[k, high + 1 :] = False
             some = np.flatnonzero(found.any(axis=1))
             spans = [runs(found[k]) for k in some.tolist()]
             keys = rows.select(["a", "c1", "c2"]).take(pa.array(some))
             yield batch_of(verdict_schema, *(keys.column(c).combine_chunks() for c in ("a", "c1", "c2")), [x for x, _ in spans], [y for _, y in spans])
 
-    shards = around.repartition("a").sortWithinPartitions("a")
-    partial = shards.mapInArrow(compare, "a long, c1 long, c2 long, low array<int>, high array<int>")
+    shards = whole.unionByName(split.select(*whole.columns)).repartition(*core).sortWithinPartitions(*core)
+    partial = shards.mapInArrow(compare, verdict_ddl).unionByName(settled)
     none = F.lit(None).cast("array<int>")
     repeated = classes.where("n > 1").select("a", "c1", "c2", none.alias("low"), none.alias("high"))
     # Surroundings found twice need no spans: everything through their anchor repeats.
     verdicts = stage(repeated.unionByName(partial.join(repeated.select("a", "c1", "c2"), ["a", "c1", "c2"], "left_anti")), "verdicts")
     marks = stage(anchors.join(verdicts, ["a", "c1", "c2"]).select(bucket, "docs", "places", "low", "high"), "byte-marks")
-    discard(anchors, classes, around, verdicts)
+    discard(anchors, classes, around, verdicts, keyed, agreed, together)
     out = marked.select(
         *kept, *(null("long").alias(n) for n in added[:3]), null("binary").alias("kept_bytes")
     ).schema
@@ -334,8 +388,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, ancho
     return with_buckets(marked, marks, bucket, cut, out)
 
 
-def _whole_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of about BATCH rows that end where an anchor ends."""
+def _whole_units(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of about BATCH rows that end where a unit of equal keys ends, with the number of each row's unit."""
+
+    def units(rows: pa.Table) -> np.ndarray:
+        change = np.zeros(rows.num_rows, dtype=bool)
+        for k in keys:
+            values = rows.column(k).fill_null(-1).to_numpy()
+            change[1:] |= values[1:] != values[:-1]
+        return np.cumsum(change)
+
     held: list[pa.RecordBatch] = []
     for batch in batches:
         for at in range(0, batch.num_rows, BATCH):
@@ -343,11 +405,11 @@ def _whole_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             if sum(b.num_rows for b in held) < BATCH:
                 continue
             rows = pa.Table.from_batches(held).combine_chunks()
-            a = rows.column("a").to_numpy()
-            change = np.flatnonzero(a[1:] != a[:-1])
-            if len(change):
-                cut = int(change[-1]) + 1
-                yield rows.slice(0, cut)
+            unit = units(rows)
+            cut = int(np.searchsorted(unit, unit[-1]))
+            if cut:
+                yield rows.slice(0, cut), unit[:cut]
                 held = rows.slice(cut).to_batches()
     if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield rows, units(rows)

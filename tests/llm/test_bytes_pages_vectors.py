@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from snapfold.llm import embeddings, ngrams, pages, suffixes
@@ -20,13 +21,14 @@ def test_suffix_array():
     assert suffixes.suffix_array([0]) == [0]
 
 
-def test_repeated_bytes(spark):
+@pytest.mark.parametrize("hot_anchor", [2_000, 3])
+def test_repeated_bytes(spark, hot_anchor):
     rng = random.Random(5)
     shared = corpus.sentence(rng, 150)
     rows = corpus.documents(2) + [(700 + i, corpus.sentence(rng, 9)[: 5 * i] + shared[3 * i :] + "é" * i, "s") for i in range(12)]
     rows += [(800, "q" * 399, "short"), (801, "q" * 400, "run"), (802, "q" * 405, "run")]
     docs = spark.createDataFrame(rows, corpus.SCHEMA).repartition(3).withColumn("N_BYTES", F.lit("old"))
-    found = suffixes.remove_repeats(docs).collect()
+    found = suffixes.remove_repeats(docs, hot_anchor=hot_anchor).collect()
     texts = [(r["text"] or "").encode() for r in found]
     counts = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
     assert len(found) == len(rows)
@@ -44,6 +46,12 @@ def test_repeated_bytes(spark):
     assert suffixes.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_offset_ranges():
+    for reach in (0, 1, 2, 3, 7, 336):
+        ranges = suffixes.offset_ranges(reach)
+        assert sorted(k for low, high in ranges for k in range(low, high + 1)) == list(range(reach + 1))
+
+
 def test_elias_fano():
     rng = np.random.default_rng(0)
     for n, universe in ((1, 1), (300, 900), (300, 10**9), (64, 64), (0, 5)):
