@@ -2,10 +2,13 @@
 
 ``page_blocks`` reads each page once into blocks of text, each under the
 generalised path of its containers (tag, classes and id, digits replaced), and
-scores the containers: a page votes for its deepest container that holds most
-of its unlinked text.  Votes are counted per host, and ``extract`` takes from
-every page the blocks below its host's winning path; a page without that path
-takes its own choice.
+scores the containers: a page votes for its outermost article or main element
+that holds most of its unlinked text, else for its deepest container that holds
+all of it, so that only blocks of nothing but links fall outside.  Votes are
+counted per host.  ``extract`` takes the blocks below the host's winning path if
+they hold no less of the page's unlinked text than those below its own choice,
+or if the winner is an article or main element with text on the page while no
+other page of the host chose as this one did; any other page keeps its choice.
 
 Defined edge cases: a null or blank page, or one with nothing but boilerplate,
 has the empty text; a null or odd url counts as one host of its own; unclosed
@@ -56,8 +59,9 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-#: Share of a page's unlinked text that its chosen container holds.
+#: Share of a page's unlinked text that an article or main element holds if it is chosen.
 MOST = 0.8
+MAIN = re.compile(r"(?:article|main)(?:\.|$)")
 
 
 def blocks_of(html: str) -> list[tuple[str, str, int]]:
@@ -150,28 +154,32 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
 
 
 def choice(blocks: list[tuple[str, str, int]]) -> str | None:
-    """The deepest container path with most of the unlinked text."""
+    """The outermost article or main path with most of the unlinked text, else the deepest path with all of it."""
+    total = sum(size for _, _, size in blocks)
     held: dict[str, int] = {}
-    for path, _, size in blocks:
+    for path, text, size in blocks:
         while path:
-            held[path] = held.get(path, 0) + size
+            # On a page of nothing but links, all text counts.
+            held[path] = held.get(path, 0) + (size if total else len(text))
             path = path.rpartition(">")[0]
-    total = sum(size for _, _, size in blocks)
-    enough = [p for p, size in held.items() if size >= MOST * total]
-    return min(enough, key=lambda p: (-p.count(">"), p), default=None)
+    total = held.get("page", 0)
+    marked = [p for p, size in held.items() if size >= MOST * total and MAIN.match(p.rpartition(">")[2])]
+    if marked:
+        return min(marked, key=lambda p: (p.count(">"), p))
+    return min((p for p, size in held.items() if size == total), key=lambda p: (-p.count(">"), p), default=None)
 
 
 def page_blocks(pages: DataFrame, html: str = "html", blocks: str = "blocks", chosen: str = "chosen") -> DataFrame:
     """``pages`` without the html, with its blocks and the container it votes for."""
     rest = [c for c in pages.columns if c not in (html, blocks, chosen)]
-    kind = "array<struct<path:string,text:string>>"
+    kind = "array<struct<path:string,text:string,size:long>>"
     schema = pages.select(*rest, null(kind).alias(blocks), null("string").alias(chosen)).schema
-    struct = pa.struct([("path", pa.string()), ("text", pa.string())])
+    struct = pa.struct([("path", pa.string()), ("text", pa.string()), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, html):
             found = [blocks_of(h or "") for h in batch.column(html).to_pylist()]
-            lists = pa.array([[{"path": p, "text": t} for p, t, _ in page] for page in found], pa.list_(struct))
+            lists = pa.array([[{"path": p, "text": t, "size": n} for p, t, n in page] for page in found], pa.list_(struct))
             votes = pa.array([choice(page) for page in found], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), lists, votes], names=[*rest, blocks, chosen])
 
@@ -185,24 +193,31 @@ def host_of(url: str) -> F.Column:
 def extract(pages: DataFrame, html: str = "html", url: str = "url", text: str = "text", broadcast_hosts: int = 100_000) -> DataFrame:
     """``pages`` without the html, with the main text appended.
 
-    The winners, one row per host, are broadcast while there are at most
-    ``broadcast_hosts``; else the join shuffles, and Spark splits a hot host.
+    The winners, one row per host and choice, are broadcast while there are at
+    most ``broadcast_hosts``; else the join shuffles, and Spark splits a hot host.
     """
-    blocks, chosen, host, path = (free_name(pages, n) for n in ("_blocks", "_chosen", "_host", "_path"))
+    blocks, chosen, host, path, alone = (free_name(pages, n) for n in ("_blocks", "_chosen", "_host", "_path", "_alone"))
     rest = [c for c in pages.columns if c not in (html, text)]
     read = stage(page_blocks(pages.select(*rest, html).withColumn(host, host_of(url)), html, blocks, chosen), "page-blocks")
-    votes = read.where(F.col(chosen).isNotNull()).groupBy(host, chosen).count()
+    votes = stage(read.where(F.col(chosen).isNotNull()).groupBy(host, chosen).count(), "host-votes")
     depth = F.size(F.split(chosen, ">"))
     # The largest count, the greatest depth, then the first path: min of the negated pair.
     best = F.min(F.struct((-F.col("count")).alias("n"), (-depth).alias("d"), F.col(chosen).alias("p")))
-    winners = stage(votes.groupBy(host).agg(best.getField("p").alias(path)), "host-paths")
+    winners = votes.groupBy(host).agg(best.getField("p").alias(path))
+    winners = stage(votes.join(winners, host).select(host, chosen, path, (F.col("count") == 1).alias(alone)), "host-paths")
     if winners.count() <= broadcast_hosts:
         winners = F.broadcast(winners)
-    joined = read.join(winners, host, "left")
+    joined = read.join(winners, [host, chosen], "left")
 
     def below(at: F.Column):
         return F.filter(blocks, lambda b: (b["path"] == at) | F.startswith(b["path"], F.concat(at, F.lit(">"))))
 
+    def held(found: F.Column):
+        return F.aggregate(found, F.lit(0).cast("long"), lambda n, b: n + b["size"])
+
     by_host, by_page = below(F.col(path)), below(F.col(chosen))
-    taken = F.when(F.size(by_host) > 0, by_host).otherwise(by_page)
+    declared = F.regexp_like(F.col(path), F.lit("(^|>)(article|main)([.>]|$)"))
+    outvoted = F.col(alone) & declared & ~F.regexp_like(F.col(chosen), F.lit("(^|>)(article|main)([.>]|$)"))
+    use_host = (F.size(by_host) > 0) & ((held(by_host) >= held(by_page)) | outvoted)
+    taken = F.when(use_host, by_host).otherwise(by_page)
     return joined.select(*rest, F.coalesce(F.array_join(F.transform(taken, lambda b: b["text"]), "\n"), F.lit("")).alias(text))

@@ -137,6 +137,21 @@ def test_pages(spark):
     assert pages.extract(frame.limit(0)).count() == 0
 
 
+def test_pages_keep_titles_leads_and_second_templates(spark):
+    body = "<p>" + "body text " * 40
+    whole = "<body><article><h1>Title</h1><p>lead</p><div class=body>" + body + "</div><p>end</p></article></body>"
+    plain = "<body><div class=top><h1>Title</h1></div><div class=body>" + body + "</div><div class=links><a href=/x>more</a></div></body>"
+    other = "<body><article><p>teaser</p></article><div class=story>" + body + "</div></body>"
+    made = [("a.example", whole)] * 3 + [("b.example", plain)] * 3 + [("c.example", whole)] * 5 + [("c.example", other)] * 2
+    frame = spark.createDataFrame([(i, f"http://{h}/{i}", t) for i, (h, t) in enumerate(made)], "page_id long, url string, html string")
+    for hosts in (100, 0):
+        texts = [r["text"].split("\n") for r in pages.extract(frame, broadcast_hosts=hosts).orderBy("page_id").collect()]
+        text = ("body text " * 40).strip()
+        assert texts[:3] == [["Title", "lead", text, "end"]] * 3
+        assert texts[3:6] == [["Title", text, "more"]] * 3
+        assert texts[6:11] == texts[:5][:3] + texts[:2] and texts[11:] == [["teaser", text]] * 2
+
+
 def test_bad_markup_is_read_in_linear_time():
     for piece in ('<a href="x ', "<div>", "<p>x<b>", "</q>", "<a <a ", "<!-", "<td><tr>"):
         pages.blocks_of(piece * 5000)
