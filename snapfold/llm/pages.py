@@ -51,12 +51,11 @@ LIMITS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "t
 KEPT_NAMES = frozenset("html body main article".split())
 COMMENTS = frozenset("comment comments reply replies".split())
 
-TAG = re.compile(
-    # A quoted value longer than this, or with its quote missing, ends at the next bracket, so that bad quotes cost no rescans.
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>|<[!?/][^>]*(?:>|\Z)",
-    re.S,
-)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)|(<[!?/])", re.S)
+#: What ends a tag or changes how it is read; the rest of a tag with bad quotes; declarations.
+IN_TAG = re.compile(r"[<>\"']")
+BARE = re.compile(r"[^<>]*+>")
+OTHER = re.compile(r"[^>]*(?:>|\Z)")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Share of a page's unlinked text that an article or main element holds if it is chosen.
@@ -105,11 +104,44 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
             if not links:
                 unlinked += len(piece)
 
-    at = 0
-    while (found := TAG.search(html, at)) is not None:
+    # Where the next quote of a kind is; looked for again only from beyond it, so bad quotes cost no rescans.
+    quotes = {'"': -1, "'": -1}
+
+    def tag_end(k: int) -> int:
+        """Place of the bracket that ends the tag whose name ends at ``k``, -1 if none does."""
+        begin = k
+        while (met := IN_TAG.search(html, k)) is not None:
+            kind, k = met[0], met.end()
+            if kind == ">":
+                return k - 1
+            if kind == "<":
+                break
+            if quotes[kind] < k:
+                stop = html.find(kind, k)
+                quotes[kind] = stop if stop >= 0 else len(html)
+            if quotes[kind] == len(html):
+                break
+            k = quotes[kind] + 1
+        bare = BARE.match(html, begin)
+        return bare.end() - 1 if bare else -1
+
+    at = seek = 0
+    while (found := TAG.search(html, seek)) is not None:
+        name, rest, stop = found[2], "", found.end()
+        if name is not None:
+            last = tag_end(stop)
+            if last >= 0:
+                rest, stop = html[stop:last], last + 1
+            elif found[1]:
+                name, stop = None, OTHER.match(html, stop).end()
+            else:  # a bracket that opens no tag is text
+                seek = stop
+                continue
+        elif found[3]:
+            stop = OTHER.match(html, stop).end()
         say(html[at : found.start()])
-        at = found.end()
-        end, name, rest = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
+        at = seek = stop
+        end = found[1]
         if name is None:
             continue
         tag = name.lower()
@@ -127,8 +159,8 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
         if tag in VOID:
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
-            at = stop.end() if stop else len(html)
+            shut = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
+            at = seek = shut.end() if shut else len(html)
             continue
         _, path, out_of, links = stack[-1]
         classes, left_out = "", tag in LEFT_OUT

@@ -152,6 +152,14 @@ def test_pages_keep_titles_leads_and_second_templates(spark):
         assert texts[6:11] == texts[:5][:3] + texts[:2] and texts[11:] == [["teaser", text]] * 2
 
 
+def test_long_attribute_values_are_no_text():
+    for quote, other in ("\"'", "'\""):
+        value = f"<b> > {other} " * 2000
+        assert [b[1] for b in pages.blocks_of(f"<p>one <i data-props={quote}{value}{quote}>two</i> three")] == ["one two three"]
+    for piece in ("<a x='", "<a x=\"' ", "<a x='\"' "):
+        pages.blocks_of(piece * 5000 + "\"")
+
+
 def test_bad_markup_is_read_in_linear_time():
     for piece in ('<a href="x ', "<div>", "<p>x<b>", "</q>", "<a <a ", "<!-", "<td><tr>"):
         pages.blocks_of(piece * 5000)
