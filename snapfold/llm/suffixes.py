@@ -19,6 +19,7 @@ nothing; repeated rows lose all that is long enough.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from snapfold.llm.common import batch_of, discard, free_name, null, stage
 CELL = 16
 #: Surroundings that a shard sorts at once, unless one anchor has more.
 BATCH = 1_500
-#: Anchors with more surroundings than this are cut by what those agree on.
+#: Anchors with more surroundings than this are cut, down to units of at most so many, by what those agree on.
 HOT_ANCHOR = 2_000
+#: Surroundings equal in these are compared together; a null range is all offsets.
+UNIT = ["a", "first", "last", "k1", "k2"]
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -208,6 +211,68 @@ class Bytes:
         return values ^ (values >> np.uint64(32))
 
 
+def hot_units(around: DataFrame, length: int, reach: int, most: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Verdicts ``(a, c1, c2, low, high)``, units ``(a, c1, c2, first, last, k1, k2)`` of at most ``most`` rows left to compare, and the tables behind both.
+
+    Strings whose offset is in one range share its core, the bytes all of them
+    hold, and lie in its hull, the bytes any of them holds.  Surroundings with
+    the same hull repeat every string of the range, and one of them stands for
+    all from there on; those alone with their core drop out.  While a core has
+    more than ``most`` of them the range is halved, at last to single offsets,
+    where hull and core are one.
+    """
+    id_ = ["a", "c1", "c2"]
+    schema = pa.schema([*((n, pa.int64()) for n in id_), *((n, pa.int32()) for n in ("first", "last", "low", "high")), *((n, pa.int64()) for n in ("k1", "k2", "m1", "m2"))])
+    ddl = "a long, c1 long, c2 long, first int, last int, low int, high int, k1 long, k2 long, m1 long, m2 long"
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            which, ranges, inner, outer = [], [], [], []
+            columns = (batch.column(n).to_pylist() for n in ("left", "right", "firsts", "lasts"))
+            for k, (x, y, firsts, lasts) in enumerate(zip(*columns)):
+                for first, last in zip(firsts, lasts):
+                    low, high = max(first, length - len(y)), min(last, len(x))
+                    if low > high:
+                        continue
+                    which.append(k)
+                    # The offsets at which a string of these surroundings can begin, as a half-open range.
+                    ranges.append((first, last, low, high + 1))
+                    inner.append(xxhash.xxh3_128_digest(x[:first] + y[: length - last]))
+                    ends = x[:last]
+                    outer.append(xxhash.xxh3_128_digest(len(ends).to_bytes(4, "little") + ends + y[: length - first]))
+            own = batch.select(id_).take(pa.array(which, pa.int64()))
+            spans = np.array(ranges, dtype=np.int32).reshape(-1, 4)
+            k_, m_ = (np.frombuffer(b"".join(d), "<i8").reshape(-1, 2) for d in (inner, outer))
+            yield batch_of(schema, *own.columns, *spans.T, k_[:, 0], k_[:, 1], m_[:, 0], m_[:, 1])
+
+    ranges = offset_ranges(reach)
+    work = around.withColumns({"firsts": F.array(*[F.lit(x) for x, _ in ranges]), "lasts": F.array(*[F.lit(y) for _, y in ranges])})
+    hull = [*UNIT, "m1", "m2"]
+    settled, units, used = [], [], []
+    while True:
+        keyed = stage(work.select(*id_, "left", "right", "firsts", "lasts").mapInArrow(keys, ddl), "cores")
+        # One of each hull; these are counted, never gathered.
+        hulls = stage(keyed.groupBy(*hull).agg(F.count("*").alias("n"), F.min(F.struct("c1", "c2")).alias("one")), "hulls")
+        used += [keyed, hulls]
+        shared = keyed.join(hulls.where("n > 1").select(*hull), hull)
+        settled.append(shared.select(*id_, F.array("low").alias("low"), F.array("high").alias("high")))
+        counts = stage(hulls.groupBy(*UNIT).count().where("count > 1"), "core-counts")
+        used.append(counts)
+        kept = hulls.select(*UNIT, "one.*").join(counts, UNIT)
+        units.append(kept.where(F.col("count") <= most).select(*id_, *UNIT[1:]))
+        large = kept.where(F.col("count") > most)
+        if not counts.where(F.col("count") > most).head(1):
+            break
+        middle = F.expr("(first + last) div 2").cast("int")
+        halves = large.select(*id_, F.array(F.col("first"), middle + 1).alias("f"), F.array(middle, F.col("last")).alias("l"))
+        halves = stage(
+            halves.groupBy(*id_).agg(F.flatten(F.collect_list("f")).alias("firsts"), F.flatten(F.collect_list("l")).alias("lasts")), "halved-ranges"
+        )
+        used.append(halves)
+        work = around.select(*id_, "left", "right").join(halves, id_)
+    return reduce(DataFrame.unionByName, settled), reduce(DataFrame.unionByName, units), used
+
+
 def remove_repeats(
     docs: DataFrame, text: str = "text", length: int = 400, anchor: int = 64, hot_anchor: int = HOT_ANCHOR
 ) -> DataFrame:
@@ -294,40 +359,15 @@ def remove_repeats(
     discard(several, wanted)
     verdict_schema = pa.schema([("a", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("low", pa.list_(pa.int32())), ("high", pa.list_(pa.int32()))])
     verdict_ddl = "a long, c1 long, c2 long, low array<int>, high array<int>"
-    ranges = offset_ranges(reach)
-
-    # Surroundings of a hot anchor agree only in part.  Strings whose offset is in one range share its core, the
-    # bytes all of them hold; so surroundings are keyed by their core in each range, and those alone with theirs
-    # drop out.  A range of one offset is settled by the key itself, the others are compared core by core.
     hot = stage(around.groupBy("a").count().where(F.col("count") > hot_anchor).select("a"), "hot-anchors")
-    cores_schema = pa.schema([*((n, pa.int64()) for n in ("a", "c1", "c2")), ("part", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64())])
-
-    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = list(zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()))
-            for part, (low, high) in enumerate(ranges):
-                fit = [k for k, (x, y) in enumerate(sides) if len(x) >= low and len(y) >= length - high]
-                raw = b"".join(xxhash.xxh3_128_digest(sides[k][0][:low] + sides[k][1][: length - high]) for k in fit)
-                keys = np.frombuffer(raw, "<i8").reshape(-1, 2)
-                own = batch.select(["a", "c1", "c2"]).take(pa.array(fit, pa.int64()))
-                yield batch_of(cores_schema, *own.columns, np.full(len(fit), part, np.int32), keys[:, 0], keys[:, 1])
-
-    core = ["a", "part", "k1", "k2"]
-    keyed = stage(around.join(hot, "a").mapInArrow(cores, "a long, c1 long, c2 long, part int, k1 long, k2 long"), "cores")
-    agreed = stage(keyed.groupBy(*core).count().where("count > 1").drop("count"), "shared-cores")
-    together = stage(keyed.join(agreed, core), "kept-cores")
-    single = [k for k, (low, high) in enumerate(ranges) if low == high]
-    low_of = F.element_at(F.array(*[F.lit(low) for low, _ in ranges]), F.col("part") + 1)
-    settled = together.where(F.col("part").isin(single)).select(
-        "a", "c1", "c2", F.array(low_of).alias("low"), F.array(low_of + 1).alias("high")
-    )
-    split = together.where(~F.col("part").isin(single)).join(around, ["a", "c1", "c2"])
     whole = around.join(hot, "a", "left_anti").select(
-        "a", "c1", "c2", F.lit(None).cast("int").alias("part"), F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"), "left", "right"
+        "a", "c1", "c2", *(null(t).alias(n) for n, t in (("first", "int"), ("last", "int"), ("k1", "long"), ("k2", "long"))), "left", "right"
     )
+    settled, units, used = hot_units(around.join(hot, "a"), length, reach, hot_anchor)
+    split = units.join(around, ["a", "c1", "c2"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, unit in _whole_units(batches, core):
+        for rows, unit in _whole_units(batches, UNIT):
             sides, sizes = [], []
             for name, width in (("left", reach), ("right", length)):
                 values = rows.column(name).to_pylist()
@@ -337,23 +377,22 @@ def remove_repeats(
                 sides.append(side)
                 sizes.append(np.fromiter(map(len, values), np.int64, len(values)))
             found = shared_windows(*sides, *sizes, length, unit)
-            for k, part in enumerate(rows.column("part").to_pylist()):
-                if part is not None:
-                    low, high = ranges[part]
-                    found[k, :low] = found[k, high + 1 :] = False
+            for k, (first, last) in enumerate(zip(rows.column("first").to_pylist(), rows.column("last").to_pylist())):
+                if first is not None:
+                    found[k, :first] = found[k, last + 1 :] = False
             some = np.flatnonzero(found.any(axis=1))
             spans = [runs(found[k]) for k in some.tolist()]
             keys = rows.select(["a", "c1", "c2"]).take(pa.array(some))
             yield batch_of(verdict_schema, *(keys.column(c).combine_chunks() for c in ("a", "c1", "c2")), [x for x, _ in spans], [y for _, y in spans])
 
-    shards = whole.unionByName(split.select(*whole.columns)).repartition(*core).sortWithinPartitions(*core)
+    shards = whole.unionByName(split.select(*whole.columns)).repartition(*UNIT).sortWithinPartitions(*UNIT)
     partial = shards.mapInArrow(compare, verdict_ddl).unionByName(settled)
     none = F.lit(None).cast("array<int>")
     repeated = classes.where("n > 1").select("a", "c1", "c2", none.alias("low"), none.alias("high"))
     # Surroundings found twice need no spans: everything through their anchor repeats.
     verdicts = stage(repeated.unionByName(partial.join(repeated.select("a", "c1", "c2"), ["a", "c1", "c2"], "left_anti")), "verdicts")
     marks = stage(anchors.join(verdicts, ["a", "c1", "c2"]).select(bucket, "docs", "places", "low", "high"), "byte-marks")
-    discard(anchors, classes, around, verdicts, keyed, agreed, together)
+    discard(anchors, classes, around, verdicts, *used)
     out = marked.select(
         *kept, *(null("long").alias(n) for n in added[:3]), null("binary").alias("kept_bytes")
     ).schema

@@ -52,6 +52,23 @@ def test_offset_ranges():
         assert sorted(k for low, high in ranges for k in range(low, high + 1)) == list(range(reach + 1))
 
 
+def test_no_unit_of_a_hot_anchor_is_large(spark):
+    rng = random.Random(9)
+    passage = corpus.sentence(rng, 200).encode()[:420]
+    rows = []
+    for i in range(60):  # a passage around an anchor at its place 50 or so, in different surroundings, some cut short
+        before, after = (bytes(rng.choice(b"abc") for _ in range(500)) for _ in range(2))
+        left, right = (before + passage[:50])[::-1][: 336 if i % 5 else 55], (passage[50:] + after)[: 400 if i % 7 else 355]
+        rows.append((1, i, 0, bytearray(left), bytearray(right)))
+    frame = spark.createDataFrame(rows, "a long, c1 long, c2 long, left binary, right binary")
+    settled, units, _ = suffixes.hot_units(frame, 400, 336, 5)
+    assert units.groupBy(*suffixes.UNIT).count().where("count > 5").count() == 0
+    found = {(r["c1"], k) for r in settled.collect() for k in range(r["low"][0], r["high"][0])}
+    for _, i, _, left, right in rows:
+        fits = {r for r in range(337) if len(left) >= r and len(right) >= 400 - r}
+        assert {r for r in fits if r <= 50 and 400 - r <= 370} <= {r for c, r in found if c == i} <= fits
+
+
 def test_elias_fano():
     rng = np.random.default_rng(0)
     for n, universe in ((1, 1), (300, 900), (300, 10**9), (64, 64), (0, 5)):
