@@ -223,8 +223,10 @@ def _cells(classes: DataFrame, least: float, block_rows: int) -> DataFrame:
 
     plain = classes.select("class", "n", "v", "part")
     dealt = stage(plain.mapInArrow(assign, f"{_ddl(plain)}, cell int, far double"), "vector-cells")
-    sizes = dealt.groupBy("part", "cell").agg(F.max("far").alias("radius"), F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-    # Cells of labels with centres, at most one for each centre; every other label is one cell.
+    sizes = stage(
+        dealt.groupBy("part", "cell").agg(F.max("far").alias("radius"), F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")), "cell-sizes"
+    )
+    # Cells of labels with centres, at most one for each centre; every other label is one cell, of several blocks if it is large.
     partners = []
     reach = float(_distance(np.array(least)))
     bounded = sizes.where(F.col("part").isin(list(known))).collect() if known else []
@@ -240,8 +242,16 @@ def _cells(classes: DataFrame, least: float, block_rows: int) -> DataFrame:
                     ok.append((int(o["cell"]), int(o["blocks"])))
             partners.append((part, int(r["cell"]), int(r["blocks"]), ok))
     near = spark.createDataFrame(partners, "part string, cell int, blocks int, others array<struct<cell:int,blocks:int>>")
-    block = F.pmod(F.xxhash64(F.lit("block"), "class"), F.coalesce("blocks", F.lit(1))).cast("int")
-    placed = dealt.join(F.broadcast(near), ["part", "cell"], "left").withColumn("block", block)
+    # Labels without centres can be many, so their block counts are not broadcast by force.
+    bare = sizes.where(~F.col("part").isin(list(known)) & (F.col("blocks") > 1)).select("part", "cell", F.col("blocks").alias("bare"))
+    block = F.pmod(F.xxhash64(F.lit("block"), "class"), F.coalesce("blocks", "bare", F.lit(1))).cast("int")
+    itself = F.when(F.col("bare").isNotNull(), F.array(F.struct("cell", F.col("bare").alias("blocks"))))
+    placed = (
+        dealt.join(F.broadcast(near), ["part", "cell"], "left")
+        .join(bare, ["part", "cell"], "left")
+        .withColumn("block", block)
+        .withColumn("others", F.coalesce("others", itself))
+    )
     own = F.struct("cell", "block")
     alone = F.array(F.struct(F.lit(0).alias("cell"), F.lit(0).alias("block")))
     others = F.flatten(

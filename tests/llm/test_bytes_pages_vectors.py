@@ -222,6 +222,20 @@ def test_embeddings(spark):
     assert embeddings.embedding_links(frame.limit(0)).count() == 0
 
 
+def test_large_labels_without_centres_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "MAX_CENTRES", 1)  # so one class in 100 would be drawn, and none of these is
+    numbers = [r[0] for r in spark.range(200).where("pmod(xxhash64(id), 100) <> 0").limit(100).collect()]
+    points = np.random.default_rng(4).normal(size=(100, 3))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    made = [(i, 1, v.tolist(), "one") for i, v in zip(numbers, points)]
+    cells = embeddings._cells(spark.createDataFrame(made, "class long, n long, v array<double>, part string"), 0.93, 10)
+    assert cells.groupBy("unit").count().agg(F.max("count")).first()[0] <= 50
+    near = points @ points.T >= 0.93
+    np.fill_diagonal(near, False)
+    links = {r["class"]: r["n"] for r in embeddings._work(cells, 0.93).groupBy("class").agg(F.sum("n_links").alias("n")).collect()}
+    assert [links.get(i, 0) for i in numbers] == near.sum(axis=1).tolist()
+
+
 def test_cover_tree_links_whole_nodes():
     rng = np.random.default_rng(3)
     points = np.concatenate([c + rng.normal(size=(200, 8)) * 0.01 for c in rng.normal(size=(3, 8))])
