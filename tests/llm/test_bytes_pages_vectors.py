@@ -129,6 +129,42 @@ def test_scores(spark):
     assert ngrams.score_documents(docs.limit(0)).count() == 0
 
 
+def test_scores_are_those_of_a_plain_class_model(spark):
+    """Few classes, so that every level has at most 256 values and its code book is exact."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choice(["a", "b", "a", "c", f"r{rng.randint(0, 30)}"]) for _ in range(rng.randint(0, 40)))) for i in range(80)]
+    found = ngrams.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), head_share=10).collect()
+    texts = {i: [*t.split(), None] for i, t in rows}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(x for t in train for x in t)
+    total, types = sum(counts.values()), len(counts)
+    heads = {x for x, c in counts.items() if 10 * c >= total} | {None}
+    rare = sum(c + 1 for x, c in counts.items() if x not in heads) + 1
+
+    def grams(t):
+        z = [None, *(x if x in heads else "rare" for x in t)]
+        return [(z[k - 2] if k > 1 else "nothing", z[k - 1], z[k]) for k in range(1, len(z))]
+
+    three = Counter(g for t in train for g in grams(t) if g[0] != "nothing")
+    two = Counter(g[1:] for t in train for g in grams(t))
+
+    def interpolated(n, context, z, below):
+        followers = [c for g, c in n.items() if g[:-1] == context]
+        if not followers:
+            return below
+        return max(n[(*context, z)] - 0.75, 0) / sum(followers) + 0.75 * len(followers) / sum(followers) * below
+
+    def share(u, v, z):
+        below = (rare if z == "rare" else counts[z] + 1) / (total + types + 1)
+        return interpolated(three, (u, v), z, interpolated(two, (v,), z, below))
+
+    for r in found:
+        t = texts[r["doc_id"]]
+        want = sum(math.log10(share(*g)) for g in grams(t)) + sum(math.log10((counts[x] + 1) / rare) for x in t if x not in heads)
+        assert abs(r["score"] - want) < 1e-4, r["doc_id"]
+    assert len(found) == len(rows) and len(heads) == 4 and len(three) > 50
+
+
 PAGE = (
     "<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var t='</p>';</script></head><body class='has-sidebar'>"
     "<header><h1>Site</h1></header><nav><ul><li><a href=/a>menu</a></ul></nav><div class='cookie-notice'>we use</div>"

@@ -1,11 +1,16 @@
 """Operators on words: quality rules, SimHash, repeated phrases, and the pipeline."""
 
+import zlib
+
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+import public_tokenizers
 from snapfold.llm import components, decisions, phrases, simhash
 from snapfold.llm.buckets import minimizers
 from tests.conftest import plan
@@ -144,3 +149,30 @@ def test_pipeline(spark, tmp_path, rows):
     assert {r["doc_id"]: len(corpus.words(r["text"])) for r in docs.collect()} == ends
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in packed} == set(ends)
+
+
+def test_pipeline_packs_every_piece(spark, tmp_path):
+    """run() against a plain tokenise-and-cut of the texts that the stages before the last one leave."""
+    rows = [r for r in corpus.documents(4, copies=False) if r[0] is not None]
+    spark.createDataFrame(rows, corpus.SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        docs = function(spark, docs, str(tmp_path))
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    want = []
+    for r in docs.collect():
+        ids = [*plain.encode(r["text"] or "", add_special_tokens=False).ids, 0]
+        short = (len(ids) - 1) % 2048 + 1  # only the first piece may be shorter
+        cut = [ids[:short], *(ids[k : k + 2048] for k in range(short, len(ids), 2048))]
+        want += [(r["doc_id"], k, len(p), zlib.crc32(np.array(p, "<u4").tobytes())) for k, p in enumerate(cut)]
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in packed) == sorted(want)
+    assert any(piece for _, piece, _, _ in want)
+    sequences = {}
+    for r in packed:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        ends = [0, *(o + n for o, n in sorted(parts))]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 2048
