@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapfold.llm import bpe, rans, suffixes
+from snapfold.llm import bpe, clustering, rans, suffixes
 from snapfold.llm.common import stage, table
 from snapfold.llm.decisions import STATS, document_stats, learn_rules
 from snapfold.llm.embeddings import embedding_links
@@ -16,7 +16,9 @@ from snapfold.llm.ngrams import score_documents
 from snapfold.llm.packing import packed_documents
 from snapfold.llm.pages import extract
 from snapfold.llm.phrases import remove_repeats
+from snapfold.llm.sharding import minimax_shards
 from snapfold.llm.simhash import near_duplicates
+from snapfold.llm.whitening import whiten
 from snapfold.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +115,47 @@ def op5_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_block_matrix_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per embedding and component of the whitened space."""
+    found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    explained = F.array(*[F.lit(e) for e in found.explained]).cast("array<double>")
+    long = found.rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return long.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(found.fitted).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(found.identity_error).alias("identity_error"),
+    )
+
+
+@query
+def op12_lookup_table_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and distance of every embedding, with the figures of its cluster."""
+    found = clustering.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    # A row for each centroid: what is known of it, and the sum of all.
+    per = found.centroids.select(
+        "cluster",
+        F.col("inertia").try_cast("long").alias("cluster_inertia"),
+        F.sum("inertia").over(Window.partitionBy()).try_cast("long").alias("inertia"),
+        digest.alias("centroid_sha256"),
+    )
+    return found.rows.join(F.broadcast(per), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+@query
+def op13_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    placed = minimax_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 ANSWERS["op3_phrase_automata"] = r"""
     WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
     windows AS (SELECT doc_id, s, array_to_string(w[s : s + 19], ' ') AS k
@@ -136,3 +179,32 @@ ANSWERS["op10_cover_tree"] = """
     FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1) USING (vec_id)
     LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1) USING (vec_id)
 """
+
+
+def _clustering_answer(rounds: int = 5, count: int = 40) -> str:
+    """The rounds of centroid clustering one after the other; sums are of whole numbers far below 2 ** 53."""
+    nearest = """SELECT vec_id, q, cluster, distance FROM (
+            SELECT vec_id, q, cluster, distance, row_number() OVER (PARTITION BY n ORDER BY distance, cluster) AS r FROM (
+                SELECT n, any_value(vec_id) AS vec_id, any_value(q) AS q, cluster, sum((x - y) * (x - y))::BIGINT AS distance
+                FROM (SELECT n, vec_id, q, cluster, unnest(q) AS x, unnest(c) AS y FROM v, {centroids}) GROUP BY n, cluster)) WHERE r = 1"""
+    steps = [
+        """v AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INT AS cluster, q AS c FROM v
+            ORDER BY sha256('2:' || vec_id) LIMIT {count})""",
+    ]
+    for k in range(rounds):
+        steps.append(f"a{k} AS MATERIALIZED ({nearest.format(centroids=f'c{k}')})")
+        steps.append(
+            f"""m{k} AS (SELECT cluster, list(m ORDER BY d) AS c FROM (SELECT cluster, d, floor(sum(x)::DOUBLE / count(*))::BIGINT AS m
+            FROM (SELECT cluster, unnest(q) AS x, unnest(range(64)) AS d FROM a{k}) GROUP BY cluster, d) GROUP BY cluster)"""
+        )
+        steps.append(f"c{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (cluster))")
+    steps.append(f"a AS MATERIALIZED ({nearest.format(centroids=f'c{rounds}')})")
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+            (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a JOIN c{rounds} USING (cluster)"""
+
+
+ANSWERS["op12_lookup_table_clusters"] = _clustering_answer()
