@@ -41,8 +41,9 @@ def write_drop(
     order: list[str],
     dialect: Dialect = WINDOWS_1252,
     quote_all: bool = False,
+    parts: int | None = None,
 ) -> None:
-    """Write ``<name>_<part>_<_stamp>.csv`` files; rows of a file follow ``order``.
+    """Write ``<name>_<part>_<_stamp>.csv`` files, ``parts`` or as many as Spark sees fit; rows of a file follow ``order``.
 
     Columns with a leading underscore steer the writing and are not exported.
     ``{season}`` in the name is filled from ``_season``.
@@ -53,7 +54,7 @@ def write_drop(
     encode = encode_windows_1252 if dialect.is_windows_1252 else (lambda c: c)
     staging = scratch_dir(spark, "staging")
     (
-        df.repartitionByRange(*keys, *order[:1])
+        df.repartitionByRange(*([parts] if parts else []), *keys, *order[:1])
         .sortWithinPartitions(*keys, *order)
         .select(*keys, *[encode(column(c).cast("string")).alias(c) for c in cells])
         .write.partitionBy(*keys)
@@ -290,7 +291,8 @@ def write_debts(spark: SparkSession, sf_dir: str, folder: str) -> None:
             "CASE WHEN o_orderkey % 7 = 0 THEN '1.5' END AS TotalCreditAmount",
             "CAST(CASE o_orderkey % 4 WHEN 0 THEN o_totalprice WHEN 1 THEN 50.25D ELSE 0.0D END AS string) AS OutstandingAmount",
             "'0' AS CommitmentAmount",
-            "'0' AS PendingAmount",
+            # 2 ** 70: far beyond any decimal or long of cents, and exact in sums of doubles.
+            "CASE WHEN o_orderkey % 9 = 0 THEN '1180591620717411303424' ELSE '0' END AS PendingAmount",
             "'0' AS PayableAmount",
             "CASE WHEN o_orderkey % 4 > 0 THEN '1' END AS NumberOfPayments",
             "'x' AS NumberOfCredits",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalogue.base import once_per_session, query, table
-from catalogue.drops import write_drop
+from catalogue.drops import RANKED_LINES, ranked_lines, write_drop
 from snapfold import functions as S
 from snapfold.session import scratch_dir
 from snapfold.sources import UTF_8, WINDOWS_1252, Dialect, Lake, read_snapshots
@@ -57,6 +60,47 @@ def csv_snapshots(spark, sf):
     return _typed_orders(read_snapshots(spark, f"{order_files(spark, sf)}/Orders_*Season*.csv"))
 
 
+@once_per_session
+def large_export(spark, sf):
+    """All order lines in one file: the order's cells on its first line only, and line feeds in the text of most lines."""
+    folder = scratch_dir(spark, "large")
+    lines = ranked_lines(spark, sf).selectExpr(
+        "o_orderkey AS _order",
+        "pos AS _pos",
+        f"'{LATE}' AS _stamp",
+        "CASE WHEN pos = 1 THEN CAST(o_orderkey AS string) END AS reference",
+        "CASE WHEN pos = 1 THEN o_orderpriority END AS priority",
+        "CAST(pos AS string) AS line",
+        """concat(repeat('"', CAST(pos % 3 AS int)), p_name, repeat(concat(',', chr(10)), CAST(pos % 4 AS int)), '; ', p_type) AS note""",
+    )
+    write_drop(lines, folder, "Lines", ["_order", "_pos"], parts=1)
+    return folder
+
+
+#: Every file is read in splits, however small.
+IN_SPLITS = replace(WINDOWS_1252, split_over=0)
+
+
+@query(
+    "a1_large_export",
+    f"""SELECT CASE WHEN pos = 1 THEN o_orderkey END AS reference, pos::BIGINT AS line, CASE WHEN pos = 1 THEN o_orderpriority END AS priority,
+        repeat('"', (pos % 3)::INT) || p_name || repeat(',' || chr(10), (pos % 4)::INT) || '; ' || p_type AS note, true AS in_order
+    FROM ({RANKED_LINES})""",
+)
+def large_export_rows(spark, sf):
+    """A file with line feeds in cells, read by many tasks; every line of an order comes after the one before it."""
+    rows = read_snapshots(spark, f"{large_export(spark, sf)}/*.csv", IN_SPLITS)
+    line = S.safe_cast("line", "long")
+    before = F.lag(line).over(Window.partitionBy("_source_file", "_block_start").orderBy("_row_seq"))
+    return rows.select(
+        S.safe_cast("reference", "long").alias("reference"),
+        line.alias("line"),
+        "priority",
+        "note",
+        F.coalesce((line == 1) | (line == before + 1), F.lit(True)).alias("in_order"),
+    )
+
+
 @once_per_session
 def document_files(spark, sf):
     """Every document in both encodings, with a label full of windows-1252 characters."""

@@ -33,6 +33,39 @@ def group_totals(spark, sf):
     return grouped.withColumn("in_arrears", F.col("owed") > 0)
 
 
+# Amounts as exports have them: sub-cent, far beyond any decimal, infinite, not a number.
+ANY_AMOUNT = """CASE WHEN o_orderkey % 53 = 0 THEN 'NaN' WHEN o_orderkey % 37 = 0 THEN 'Infinity'
+    WHEN o_orderkey % 29 = 0 THEN '1180591620717411303424' WHEN o_orderkey % 7 = 0 THEN '0.3333' ELSE CAST(o_totalprice AS string) END"""
+
+
+@query(
+    "h1_any_amount",
+    f"""SELECT o_custkey, year(o_orderdate)::INT AS season, bool_or(o_orderkey % 53 = 0) AS not_a_number,
+        bool_or(o_orderkey % 37 = 0) AND NOT bool_or(o_orderkey % 53 = 0) AS infinite,
+        CASE WHEN bool_or(o_orderkey % 37 = 0 OR o_orderkey % 53 = 0) THEN NULL ELSE count(*) FILTER (o_orderkey % 29 = 0) END AS huge,
+        CASE WHEN NOT bool_or(o_orderkey % 53 = 0 OR o_orderkey % 37 = 0 OR o_orderkey % 29 = 0)
+            THEN sum(CASE WHEN o_orderkey % 7 = 0 THEN 0.3333 ELSE o_totalprice::DECIMAL(18, 4) END)::DOUBLE END AS billed,
+        count(*) FILTER (o_orderkey % 53 = 0 OR o_orderkey % 37 = 0) AS failed_rule
+    FROM orders GROUP BY ALL""",
+)
+def any_amount(spark, sf):
+    """No cell fails a total: exact where amounts are, else what doubles make of it; the rule counts what is no amount."""
+    typed = _orders(spark, sf).select("o_custkey", "season", S.safe_cast(F.expr(ANY_AMOUNT), "double").alias("amount"))
+    total = S.exact_sum(F.col("amount"))
+    grouped = typed.groupBy("o_custkey", "season").agg(total.alias("total"), F.count_if(~F.expr(O.finite("amount"))).alias("failed_rule"))
+    infinite = F.col("total") == F.lit(float("inf"))
+    usual = F.col("total") < 1e15
+    return grouped.select(
+        "o_custkey",
+        "season",
+        F.isnan("total").alias("not_a_number"),
+        infinite.alias("infinite"),
+        F.when(~F.isnan("total") & ~infinite, F.floor(F.col("total") / F.lit(2.0**70))).alias("huge"),
+        F.when(usual, F.col("total")).alias("billed"),
+        "failed_rule",
+    )
+
+
 @query(
     "h2_conditional_counts",
     """SELECT year(o_orderdate)::INT AS season, count(*) FILTER (o_orderstatus = 'O') AS open,

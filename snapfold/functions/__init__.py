@@ -6,6 +6,7 @@ from snapfold.functions.keys import fallback_key, hash_key
 from snapfold.functions.measures import (
     as_of_date,
     days_since,
+    exact_row_sum,
     exact_sum,
     from_cents,
     next_period,
@@ -41,6 +42,7 @@ __all__ = [
     "clean_columns",
     "column",
     "days_since",
+    "exact_row_sum",
     "exact_sum",
     "fallback_key",
     "false_if_null",

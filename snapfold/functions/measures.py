@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,14 +45,39 @@ def next_period(period: Column) -> Column:
     return period + 1
 
 
+#: Money up to this is a whole number of units to the last digit a double keeps.
+LARGEST_EXACT = 1e11
+#: Units of an amount: ten-thousandths.
+UNITS = 1e4
+
+
 def to_cents(money: Column) -> Column:
-    """Two-decimal money as whole cents, so sums are exact in any row order."""
-    return F.round(money * 100).cast("long")
+    """Two-decimal money as whole cents, so sums are exact in any row order; NULL for amounts beyond those."""
+    return F.when(F.abs(money) < LARGEST_EXACT, F.round(money * 100)).cast("long")
+
+
+def _is_exact(money: Column) -> Column:
+    """Whether an amount has four decimals at most; false for huge and non-finite ones."""
+    return (F.abs(money) < LARGEST_EXACT) & (F.rint(money * UNITS) / UNITS == money)
 
 
 def exact_sum(money: Column) -> Column:
-    """Sum of two-decimal money as a double, the same in any row order."""
-    return F.sum(money.cast("decimal(18,2)")).cast("double")
+    """Sum of double amounts, the same in any row order as long as they have four decimals at most.
+
+    Such amounts are summed as whole numbers.  With any other among them, and where whole numbers run out of room, it is the
+    plain sum of doubles: finer amounts keep their digits, and huge or non-finite ones show in the total and fail no job.
+    """
+    exact = _is_exact(money)
+    units = F.try_sum(F.when(exact, F.rint(money * UNITS).cast("long")))
+    return F.coalesce(F.when(F.bool_and(exact), units / UNITS), F.sum(money))
+
+
+def exact_row_sum(columns: Iterable[Column]) -> Column:
+    """``exact_sum`` across the columns of one row; NULL if any part is NULL."""
+    parts = list(columns)
+    exact = reduce(and_, map(_is_exact, parts))
+    units = [F.when(_is_exact(p), F.rint(p * UNITS).cast("long")) for p in parts]
+    return F.coalesce(F.when(exact, row_sum(units) / UNITS), row_sum(parts))
 
 
 def from_cents(cents: Column) -> Column:

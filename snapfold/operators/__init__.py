@@ -18,7 +18,7 @@ from snapfold.operators.conform import (
 )
 from snapfold.operators.dedup import distinct_by, latest_by_key, latest_snapshot_rows
 from snapfold.operators.hierarchy import forward_fill, group_id, row_bucket, split_ghosts
-from snapfold.operators.quality import DROP, WARN, Checked, Rule, check, keep_passing, observed
+from snapfold.operators.quality import DROP, WARN, Checked, Rule, check, finite, keep_passing, observed
 from snapfold.operators.reshape import pivot_sum, unpivot_blocks
 
 __all__ = [
@@ -32,6 +32,7 @@ __all__ = [
     "distinct_by",
     "drop_present",
     "ensure_columns",
+    "finite",
     "forward_fill",
     "group_id",
     "keep_passing",

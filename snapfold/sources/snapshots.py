@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from snapfold.functions.text import column
 from snapfold.operators.conform import conform_union
+from snapfold.sources import splits
 
 SOURCE_FILE = "_source_file"
 INGEST_TS = "_ingest_ts"
@@ -28,9 +29,10 @@ FILES_PER_READ = 10_000
 class Dialect:
     """How the exporting system writes its files.
 
-    ``multi_line`` allows line feeds inside quoted cells, which makes a file
-    unsplittable.  Where cells hold carriage returns at most and rows end in a
-    line feed, switch it off and large files are read by many tasks.
+    ``multi_line`` allows line feeds inside quoted cells.  Files above
+    ``split_over`` bytes are read by many tasks all the same (see ``sources.splits``), at
+    the price of a scan of their quotes.  Where cells hold carriage returns at most and rows end
+    in a line feed, switch ``multi_line`` off and no such scan is needed.
     """
 
     encoding: str = "windows-1252"
@@ -39,11 +41,24 @@ class Dialect:
     quote: str = '"'
     escape: str = '"'
     trim: bool = True
+    split_over: int = 64 << 20
 
     @property
     def is_windows_1252(self) -> bool:
         return self.encoding.lower() in {"windows-1252", "cp1252"}
 
+    @property
+    def splits(self) -> bool:
+        """Whether large files can be cut at line feeds: single-byte marks, quotes escaped by doubling."""
+        marks = len(self.delimiter.encode()) == len(self.quote.encode()) == 1
+        return self.multi_line and marks and self.escape == self.quote and self.charset is not None
+
+    @property
+    def charset(self) -> str | None:
+        """The encoding as Spark decodes it, if a line feed is always the byte 10 in it."""
+        known = {"utf-8": "UTF-8", "utf8": "UTF-8", "iso-8859-1": "ISO-8859-1", "latin-1": "ISO-8859-1", "us-ascii": "US-ASCII"}
+        return "ISO-8859-1" if self.is_windows_1252 else known.get(self.encoding.lower())
+
     def reader_options(self) -> dict[str, str]:
         options = {
             "header": "true",
@@ -95,7 +110,7 @@ def list_files(spark: SparkSession, location: str | Sequence[str]) -> DataFrame:
 
 
 def read_headers(files: DataFrame, dialect: Dialect) -> DataFrame:
-    """``(path, header)`` for files with content.
+    """``(path, length, header)`` for files with content.
 
     Tasks open the files and decode only the first record of each.
     """
@@ -133,13 +148,13 @@ def read_headers(files: DataFrame, dialect: Dialect) -> DataFrame:
             return names
 
         for batch in batches:
-            found = [(path, first_record(path)) for path in batch["path"]]
+            found = [(path, length, first_record(path)) for path, length in zip(batch["path"], batch["length"])]
             yield pd.DataFrame(
-                [(path, safe_names(cells)) for path, cells in found if cells],
-                columns=["path", "header"],
+                [(path, length, safe_names(cells)) for path, length, cells in found if cells],
+                columns=["path", "length", "header"],
             )
 
-    return files.select("path").mapInPandas(first_records, "path string, header array<string>")
+    return files.select("path", "length").mapInPandas(first_records, "path string, length long, header array<string>")
 
 
 def read_snapshots(
@@ -153,7 +168,7 @@ def read_snapshots(
 
 
 def read_each(files: DataFrame, dialect: Dialect = WINDOWS_1252) -> Iterator[DataFrame]:
-    """Rows of the files named in ``files.path``, a frame per header and so many files.
+    """Rows of the files named in ``files.path``, a frame or two per header and so many files.
 
     Spark binds CSV cells to a given schema by position, so files of different
     headers are read apart.  File names and headers pass through the driver one
@@ -162,8 +177,15 @@ def read_each(files: DataFrame, dialect: Dialect = WINDOWS_1252) -> Iterator[Dat
     spark = files.sparkSession
     headers = read_headers(files, dialect).sort("header", "path").toLocalIterator()
     for header, found in groupby(headers, key=lambda r: r.header):
-        while paths := [r.path for r in islice(found, FILES_PER_READ)]:
-            yield _read_one(spark, paths, header, dialect)
+        while some := list(islice(found, FILES_PER_READ)):
+            large = {r.path for r in some if dialect.splits and r.length > dialect.split_over}
+            if large:
+                rows, stray = _read_in_splits(spark, sorted(large), header, dialect)
+                large -= stray
+                if large:
+                    yield rows
+            if whole := [r.path for r in some if r.path not in large]:
+                yield _read_one(spark, whole, header, dialect)
 
 
 def read_files(files: DataFrame, dialect: Dialect = WINDOWS_1252) -> DataFrame | None:
@@ -179,15 +201,13 @@ def _read_one(
     spark: SparkSession, paths: Sequence[str], header: Sequence[str], dialect: Dialect
 ) -> DataFrame:
     fields = [*header, RESCUED]
-    schema = ", ".join("`" + f.replace("`", "``") + "` string" for f in fields)
     rows = (
-        spark.read.schema(schema)
+        spark.read.schema(_schema(fields))
         .options(**dialect.reader_options())
         .csv([_literal_path(p) for p in paths])
     )
-    decode = decode_windows_1252 if dialect.is_windows_1252 else (lambda c: c)
     return rows.select(
-        *[decode(column(f)).alias(f) for f in fields],
+        *_cells(fields, dialect),
         F.col("_metadata.file_path").alias(SOURCE_FILE),
         F.current_timestamp().alias(INGEST_TS),
         F.col("_metadata.file_block_start").alias(FILE_ORDER[0]),
@@ -195,6 +215,60 @@ def _read_one(
     )
 
 
+def _read_in_splits(
+    spark: SparkSession, paths: Sequence[str], header: Sequence[str], dialect: Dialect
+) -> tuple[DataFrame | None, set[str]]:
+    """Rows of large files read by many tasks, and the paths that have to be read whole for a stray quote."""
+    chunks = splits.stored_chunks(spark, [_literal_path(p) for p in paths], dialect.delimiter, dialect.quote, dialect.trim)
+    states = splits.chunk_states(chunks)
+    of_file = states.groupBy("file").agg(
+        F.bool_or("stray").alias("stray"),
+        F.bool_or(F.col("crlf") & (F.col("block") == 0) & (F.col("chunk") == 0)).alias("crlf"),
+        F.count("*").alias("chunks"),
+    )
+    # A row for each file: its name as Spark gives it, which its chunks know by a hash.
+    listed = spark.read.format("binaryFile").load([_literal_path(p) for p in paths])
+    names = listed.select("path", F.col("_metadata.file_path").alias(SOURCE_FILE), splits.file_id().alias("file"))
+    clean = [r for r in names.join(of_file, "file").collect() if not r["stray"]]
+    # A file without a line has no chunk and is read like any other.
+    stray = set(paths) - {r["path"] for r in clean}
+    if not clean:
+        return None, stray
+
+    known = spark.createDataFrame([(r["file"], r[SOURCE_FILE], r["crlf"]) for r in clean], f"file long, {SOURCE_FILE} string, crlf boolean")
+    known = F.broadcast(known)  # at most FILES_PER_READ rows
+    of_clean = states.drop("crlf").join(known.select("file"), "file")
+    found = splits.records(chunks, of_clean, dialect.quote, sum(r["chunks"] for r in clean))
+    text = F.rtrim(F.decode("record", dialect.charset), F.lit("\r\n"))
+    # Rows that end in both are read with line feeds only, as Spark's parser does with a whole file.
+    normal = F.when(F.col("crlf"), F.replace(text, F.lit("\r\n"), F.lit("\n"))).otherwise(text)
+    fields = [*header, RESCUED]
+    options = {**dialect.reader_options(), "multiLine": "false"}
+    rows = (
+        found.join(known, "file")
+        .where((F.col("block") > 0) | (F.col("seq") > 1))  # the header
+        .withColumn("text", normal)
+        .where("text <> ''")
+        .withColumn("cells", F.from_csv("text", _schema(fields), options))
+    )
+    return rows.select("cells.*", SOURCE_FILE, "block", "seq").select(
+        *_cells(fields, dialect),
+        SOURCE_FILE,
+        F.current_timestamp().alias(INGEST_TS),
+        F.col("block").alias(FILE_ORDER[0]),
+        F.col("seq").alias(FILE_ORDER[1]),
+    ), stray
+
+
+def _schema(fields: Sequence[str]) -> str:
+    return ", ".join("`" + f.replace("`", "``") + "` string" for f in fields)
+
+
+def _cells(fields: Sequence[str], dialect: Dialect) -> list[Column]:
+    decode = decode_windows_1252 if dialect.is_windows_1252 else (lambda c: c)
+    return [decode(column(f)).alias(f) for f in fields]
+
+
 def _literal_path(path: str) -> str:
     """Protect characters of a file name that a path glob would interpret."""
     return "".join("\\" + ch if ch in "\\*?[]{}" else ch for ch in path)

@@ -8,8 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from snapfold.sources.snapshots import WINDOWS_1252, Dialect, read_each
 from snapfold.sources.tables import Lake, exists
 
-# Schema of Spark's binary file source.  Only ``path`` is used, and the source
-# reads no content that is not selected.
+# Schema of Spark's binary file source.  Only ``path`` and ``length`` are used, and
+# the source reads no content that is not selected.
 ARRIVALS = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -55,7 +55,7 @@ def stream_snapshots(
         # A snapshot delivered late is still a snapshot: never age files out.
         .option("maxFileAge", "36500d")
         .load(folder)
-        .select("path")
+        .select("path", "length")
         .writeStream.foreachBatch(ingest)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
