@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from catalogue.base import once_per_session, query, table
 from catalogue.drops import RANKED_LINES, ranked_lines, write_drop
 from snapfold import functions as S
+from snapfold import operators as O
 from snapfold.session import scratch_dir
-from snapfold.sources import UTF_8, WINDOWS_1252, Dialect, Lake, read_snapshots
+from snapfold.sources import FILE_ORDER, UTF_8, WINDOWS_1252, Dialect, Lake, read_snapshots
 from snapfold.streaming import stream_snapshots, write_latest
 
 EARLY, LATE = "20011001000000", "20011201000000"
@@ -101,6 +102,42 @@ def large_export_rows(spark, sf):
     )
 
 
+@once_per_session
+def stored_lines(spark, sf):
+    """The large export as an ingest table."""
+    lake = Lake(spark, scratch_dir(spark, "large-lake"))
+    stream_snapshots(lake, large_export(spark, sf), "Lines_*.csv", "lines", IN_SPLITS).awaitTermination()
+    return lake.ingested("lines")
+
+
+@query(
+    "i3_large_export_fill",
+    f"""SELECT o_orderkey AS reference, pos::BIGINT AS line, o_orderpriority AS priority, length(p_name)::INT AS n FROM ({RANKED_LINES})""",
+)
+def large_export_fill(spark, sf):
+    """Every line with the cells of its order, filled in the order of the file by a scan without a shuffle."""
+    lines = stored_lines(spark, sf)
+    filled = O.fill_scanned(lines, "_source_file", FILE_ORDER, ["reference", "priority"], restart=F.col("reference").isNotNull())
+    return filled.select(
+        S.safe_cast("reference", "long").alias("reference"),
+        S.safe_cast("line", "long").alias("line"),
+        "priority",
+        F.length(F.regexp_extract("note", '^"*([^",;]*)', 1)).alias("n"),
+    )
+
+
+@query(
+    "i2_large_export_groups",
+    "SELECT l_orderkey AS reference, count(*) AS lines FROM lineitem GROUP BY 1",
+)
+def large_export_groups(spark, sf):
+    """Lines per parent row: a group is told by the place of its first row, filled down like any cell."""
+    place = F.when(F.col("reference").isNotNull(), F.struct(*FILE_ORDER))
+    lines = stored_lines(spark, sf).withColumn("_group", place)
+    grouped = O.fill_scanned(lines, "_source_file", FILE_ORDER, ["_group"]).groupBy("_source_file", "_group")
+    return grouped.agg(F.max("reference").cast("long").alias("reference"), F.count(F.lit(1)).alias("lines")).select("reference", "lines")
+
+
 @once_per_session
 def document_files(spark, sf):
     """Every document in both encodings, with a label full of windows-1252 characters."""

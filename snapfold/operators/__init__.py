@@ -17,9 +17,10 @@ from snapfold.operators.conform import (
     stamp,
 )
 from snapfold.operators.dedup import distinct_by, latest_by_key, latest_snapshot_rows
-from snapfold.operators.hierarchy import forward_fill, group_id, row_bucket, split_ghosts
+from snapfold.operators.hierarchy import forward_fill, group_id, row_bucket, row_kind, split_ghosts
 from snapfold.operators.quality import DROP, WARN, Checked, Rule, check, finite, keep_passing, observed
 from snapfold.operators.reshape import pivot_sum, unpivot_blocks
+from snapfold.operators.scanned import fill_scanned
 
 __all__ = [
     "Checked",
@@ -32,6 +33,7 @@ __all__ = [
     "distinct_by",
     "drop_present",
     "ensure_columns",
+    "fill_scanned",
     "finite",
     "forward_fill",
     "group_id",
@@ -48,6 +50,7 @@ __all__ = [
     "rename_slots",
     "roster_counts",
     "row_bucket",
+    "row_kind",
     "split_ghosts",
     "stamp",
     "unpivot_blocks",
