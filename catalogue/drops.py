@@ -375,7 +375,9 @@ def cleaned_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """``club_lake`` with the cleaned datasets that the star schema reads."""
     lake = club_lake(spark, sf_dir)
     everyone = lake.refresh(
-        registrations(lake.ingested_seasons("bronze_registrations"), DENIED_NOTES),
+        registrations(
+            lake.ingested("bronze_registrations"), DENIED_NOTES, columns=lake.ingested_columns("bronze_registrations")
+        ),
         "silver",
         "silver_registrations",
         ["Season"],

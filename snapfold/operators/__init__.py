@@ -18,6 +18,7 @@ from snapfold.operators.conform import (
 )
 from snapfold.operators.dedup import distinct_by, latest_by_key, latest_snapshot_rows
 from snapfold.operators.hierarchy import forward_fill, group_id, row_bucket, row_kind, split_ghosts
+from snapfold.operators.periods import Periods
 from snapfold.operators.quality import DROP, WARN, Checked, Rule, check, finite, keep_passing, observed
 from snapfold.operators.reshape import pivot_sum, unpivot_blocks
 from snapfold.operators.scanned import fill_scanned
@@ -25,6 +26,7 @@ from snapfold.operators.scanned import fill_scanned
 __all__ = [
     "Checked",
     "DROP",
+    "Periods",
     "Rule",
     "WARN",
     "check",
