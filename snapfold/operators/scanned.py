@@ -12,8 +12,9 @@ more and shorter runs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,104 +42,91 @@ def fill_scanned(
     if len(present) > 62:
         raise ValueError("at most 62 columns can be filled at once")
     block, row = order
-    names = df.columns
     false = F.lit(False)
-    marked = df.withColumns(
-        {
-            "_begins": false if restart is None else F.coalesce(restart, false),
-            "_skipped": false if skip is None else F.coalesce(skip, false),
-        }
-    )
+    flags = [false if c is None else F.coalesce(c, false) for c in (restart, skip)]
     number = F.lit(None).cast("long")
-    schema = df.select("*", number.alias("_run"), number.alias("_untold"), F.lit(None).cast("int").alias("_kind")).schema
+    cells = [column(c).alias(f"c{i}") for i, c in enumerate(present)]
+    result = df.select(*cells, number.alias("run"), number.alias("untold"), F.lit(None).cast("int").alias("kind")).schema
 
     # A nested function travels to the executors by value, so they need no copy of this package.
-    def fill(batches):
+    def fill(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        first = (context.partitionId() if context else 0) << 33
-        run, before, told, state = first - 1, None, 0, {}
-        last = None
-
-        def table(columns, runs, untold, kinds):
-            return pa.RecordBatch.from_arrays([*columns, pa.array(runs), pa.array(untold), pa.array(kinds, pa.int32())], names=[f.name for f in schema])
-
-        def tail():
-            """The last row of the run before, with what each column has said last."""
-            values = [state.get(n, last.column(n)) for n in names]
-            return table(values, np.array([run]), np.array([~told & (2 ** len(present) - 1)]), np.array([LAST]))
+        run, before, told, state = ((context.partitionId() if context else 0) << 33) - 1, None, 0, {}
 
-        for batch in batches:
-            n = batch.num_rows
+        for *marks, columns in ((*b[:6], b[6:]) for b in batches):
+            files, block, row, begins, skipped, nameless = (a.to_numpy(zero_copy_only=False) for a in marks)
+            n = len(files)
             if not n:
                 continue
             place = np.arange(n)
-            where = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (block, row)])
-            names_of = batch.column(file)
             breaks = np.ones(n, bool)
-            if n > 1:
-                same = pc.fill_null(pc.equal(names_of[1:], names_of[:-1]), False).to_numpy(zero_copy_only=False)
-                breaks[1:] = ~(same & (where[0, 1:] == where[0, :-1]) & (where[1, 1:] == where[1, :-1] + 1))
-            start = (names_of[0].as_py(), *where[:, 0].tolist())
-            breaks[0] = before is None or before[0] is None or (before[0], before[1], before[2] + 1) != start
-            if breaks[0] and last is not None:
-                yield tail()
+            breaks[1:] = (files[1:] != files[:-1]) | (block[1:] != block[:-1]) | (row[1:] != row[:-1] + 1) | nameless[1:]
+            breaks[0] = nameless[0] or before != (files[0], block[0], row[0] - 1)
+            if breaks[0]:
                 told, state = 0, {}
             runs = run + np.cumsum(breaks)
             since = np.maximum.accumulate(np.where(breaks, place, -1))  # the first row of a run, -1 for the one from the batch before
-            begins, skipped = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_begins", "_skipped"))
-            filled, untold, said_last = {}, np.zeros(n, np.int64), []
-            for i, name in enumerate(present):
-                cells = batch.column(name)
-                said = (begins | cells.is_valid().to_numpy(zero_copy_only=False)) & ~skipped
+            filled, untold, gaps, ends = [], np.zeros(n, np.int64), 0, {}
+            for i, values in enumerate(columns):
+                said = (begins | values.is_valid().to_numpy(zero_copy_only=False)) & ~skipped
                 at = np.maximum.accumulate(np.where(said, place, -1))
                 at[at < since] = -1
-                carried = state.get(name, pa.nulls(1, cells.type))
-                known = pa.concat_arrays([carried, cells])
-                from_before = (at < 0) & (since < 0)
-                source = np.where(at >= 0, at + 1, 0)
-                own = pa.array(np.where(skipped, place + 1, np.where((at >= 0) | from_before, source, -1)), mask=~skipped & (at < 0) & ~from_before)
-                filled[name] = known.take(own)
-                missing = (at < 0) & ~(from_before & bool(told >> i & 1))
-                untold |= np.where(missing & ~skipped, np.int64(1) << i, 0)
-                # What a run that ends at a row has said by then, skipped rows aside.
-                said_last.append((name, known, source, missing))
-            kinds = np.where(untold != 0, UNTOLD, TOLD)
-            yield table([filled.get(c, batch.column(c)) for c in names], runs, untold, kinds)
-            ends = np.flatnonzero(breaks[1:])
-            if len(ends):
-                over = {name: known.take(pa.array(source[ends], mask=missing[ends])) for name, known, source, missing in said_last}
-                gaps = sum((missing[ends].astype(np.int64) << i for i, (*_, missing) in enumerate(said_last)), np.zeros(len(ends), np.int64))
-                yield table([over.get(c, batch.column(c).take(pa.array(ends))) for c in names], runs[ends], gaps, np.full(len(ends), LAST))
-            run, before, last = int(runs[-1]), (names_of[n - 1].as_py(), *where[:, -1].tolist()), batch.slice(n - 1)
-            told = sum((not missing[-1]) << i for i, (*_, missing) in enumerate(said_last))
-            state = {name: known.take(pa.array(source[-1:], mask=missing[-1:])) for name, known, source, missing in said_last}
-        if last is not None:
-            yield tail()
-
+                known = pa.concat_arrays([state.get(i, pa.nulls(1, values.type)), values])
+                # Place 0 is what the batches before have said; a run that begins in this one has nothing of it.
+                from_before = (since < 0) & bool(told >> i & 1)
+                missing = (at < 0) & ~from_before & ~skipped
+                source = np.where(skipped, place + 1, np.where(at >= 0, at + 1, 0))
+                filled.append(known.take(pa.array(source, mask=missing)))
+                untold |= np.where(missing, np.int64(1) << i, 0)
+                if at[-1] >= 0 or from_before[-1]:
+                    ends[i] = known.slice(at[-1] + 1, 1)
+                    gaps |= 1 << i
+            # The last row of a run that is not skipped says what the run leaves; the last of a batch may be that.
+            counted = np.maximum.accumulate(np.where(skipped, -1, place))[np.append(breaks[1:], True)]
+            last = np.zeros(n, bool)
+            last[counted[counted >= np.maximum(since[np.append(breaks[1:], True)], 0)]] = True
+            kind = np.where(untold != 0, UNTOLD, TOLD) + np.where(last, LAST, 0)
+            yield pa.StructArray.from_arrays(
+                [*filled, pa.array(runs), pa.array(untold), pa.array(kind.astype(np.int32))], names=[f.name for f in result]
+            )
+            run, before, told, state = int(runs[-1]), (files[-1], block[-1], row[-1]), gaps, ends
+
+    # Only what is filled goes through Python; the rows wait for it.
+    together = F.arrow_udf(fill, result).asNondeterministic()
+    place = (F.xxhash64(column(file)), column(block), column(row))
     spark = df.sparkSession
     folder = scratch_dir(spark, "filled")
+    rest = [column(c) for c in df.columns if c not in present]
+    passed = df.select(*rest, together(*place, *flags, column(file).isNull(), *cells).alias("_filled"))
+    stored_as = passed.select(
+        *[F.col("_filled")[f"c{present.index(c)}"].alias(c) if c in present else column(c) for c in df.columns],
+        *[F.col("_filled")[f].alias(f"_{f}") for f in ("run", "untold", "kind")],
+    )
     earlier = spark.conf.get(WRITERS)
-    # Three open files a task, so that rows need no sort by kind.
-    spark.conf.set(WRITERS, 3)
+    # Four open files a task, so that rows need no sort by kind.
+    spark.conf.set(WRITERS, 4)
     try:
-        marked.mapInArrow(fill, schema).write.partitionBy("_kind").parquet(folder)
+        stored_as.write.partitionBy("_kind").parquet(folder)
     finally:
         spark.conf.set(WRITERS, earlier)
-    stored = spark.read.schema(schema).parquet(folder)
+    stored = spark.read.schema(stored_as.schema).parquet(folder)
+    names = df.columns
 
     def said(i: int, name: str) -> Column:
         return F.when(F.col("_untold").bitwiseAND(F.lit(1 << i)) == 0, F.struct(column(name).alias("v")))
 
     runs = Window.partitionBy(column(file)).orderBy(column(block), column(row)).rowsBetween(Window.unboundedPreceding, -1)
-    lasts = stored.where(F.col("_kind") == LAST)
-    carried = lasts.select("_run", *[F.last(said(i, c), ignorenulls=True).over(runs).alias(f"_carry{i}") for i, c in enumerate(present)])
+    lasts = stored.where(F.col("_kind") >= LAST).withColumns({f"_said{i}": said(i, c) for i, c in enumerate(present)})
+    before = [F.last(f"_said{i}", ignorenulls=True).over(runs).alias(f"_carry{i}") for i in range(len(present))]
+    # The first of a run's rows here has only earlier runs before it.
+    position = F.struct(column(block), column(row))
+    carried = lasts.select("_run", position.alias("_at"), F.struct(*before).alias("_before")).groupBy("_run").agg(F.min_by("_before", "_at").alias("_b")).select("_run", "_b.*")
     # Few rows, but no fixed number: the planner picks the join.
-    late = stored.where(F.col("_kind") == UNTOLD).join(carried, "_run", "left")
+    late = stored.where(F.col("_kind").isin(UNTOLD, UNTOLD + LAST)).join(carried, "_run", "left")
 
     def cell(name: str) -> Column:
         if name not in present:
@@ -147,5 +135,5 @@ def fill_scanned(
         lacking = F.col("_untold").bitwiseAND(F.lit(1 << i)) != 0
         return F.when(lacking, F.col(f"_carry{i}")["v"]).otherwise(column(name)).alias(name)
 
-    whole = stored.where(F.col("_kind") == TOLD).select(*[column(c) for c in names])
+    whole = stored.where(F.col("_kind").isin(TOLD, TOLD + LAST)).select(*[column(c) for c in names])
     return whole.unionAll(late.select(*[cell(c) for c in names]))

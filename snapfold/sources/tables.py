@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,9 @@ from snapfold.sources.snapshots import INGEST_TS, PROVENANCE
 
 BATCH = "_batch_id"
 SEASON = "_season"
+RUN = "_run"
+#: The run of batches that are added without one.
+FIRST_RUN = "initial"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -42,30 +47,36 @@ class Lake:
     def refresh(
         self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Replace the view by the frame's rows and give it back as stored."""
-        writer = df.write.mode("overwrite")
+        """Replace the view by the frame's rows and give it back as stored.
+
+        Partitions get files by their size: a large one several, a small one a single file,
+        and not one for each task that holds some of its rows.
+        """
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+        else:
+            writer = df.write.mode("overwrite")
         writer.parquet(self.path(layer, name))
         return self.scan(layer, name)
 
     # Ingest tables grow batch by batch and gain columns as exports do.  The
     # columns of each batch are noted next to the data, so a scan knows the full
-    # schema without opening every file's footer.
+    # schema without opening every file's footer.  Every run of an ingest has folders
+    # of its own, and a pointer says which run a table (or season) shows.
 
     def append_batch(
-        self, df: DataFrame, name: str, batch: int, season: int | None = None, more: bool = False
+        self, df: DataFrame, name: str, batch: int, season: int | None = None, more: bool = False, run: str | None = None
     ) -> None:
-        """Add one ingest batch, to one season of the table if it has seasons.
+        """Add one ingest batch to a run, the one shown unless given, and to one season of the table if it has seasons.
 
-        Repeating a batch replaces it.  Batch 0 starts the table (or season), so
-        a run with a new checkpoint replaces everything an earlier one has left.
+        Repeating a batch replaces it.  Batch 0 starts the run's table (or season).
         A batch of several frames is one frame and then others with ``more``.
         """
+        run = run or self._shown(name).get(season, FIRST_RUN)
         fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
         noted = self.spark.createDataFrame(fields, "position int, name string, type string")
         for frame, part in ((noted.coalesce(1), "columns"), (df, "rows")):
-            folder = self._ingest_path(name, part)
+            folder = f"{self._ingest_path(name, part)}/{RUN}={quote(run, safe='')}"
             if season is not None:
                 folder = f"{folder}/{SEASON}={season}"
             if more:
@@ -81,11 +92,45 @@ class Lake:
             else:
                 frame.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch}")
 
-    def clear(self, name: str, season: int | None = None) -> None:
-        """Leave no row in an ingest table, or in one season of it."""
+    def clear(self, name: str, season: int | None = None, run: str | None = None) -> None:
+        """Leave no row in a run of an ingest table, or in one season of it."""
         kinds = ("string", "timestamp", "string", "long", "long")
         schema = ", ".join(f"{c} {kind}" for c, kind in zip(PROVENANCE, kinds))
-        self.append_batch(self.spark.createDataFrame([], schema), name, 0, season)
+        self.append_batch(self.spark.createDataFrame([], schema), name, 0, season, run=run)
+
+    def show(self, name: str, run: str, season: int | None = None) -> None:
+        """Let a table (or season) show a run from now on: one small file, there as a whole or not at all."""
+        row = self.spark.createDataFrame([(season, run, time.time_ns())], "season int, run string, since long")
+        row.coalesce(1).write.mode("append").parquet(self._ingest_path(name, "shown"))
+
+    def shown_run(self, name: str, season: int | None = None) -> str | None:
+        """The run a table (or season) shows, None before its first."""
+        return self._shown(name).get(season)
+
+    def free_old_runs(self, name: str) -> None:
+        """Empty the folders of runs that are shown no more; for when nobody reads them any longer."""
+        shown = self._shown(name)
+        for season, run in {(r["season"], r["run"]) for r in self._pointers(name)}:
+            if shown[season] != run:
+                self.clear(name, season, run)
+
+    def _pointers(self, name: str) -> list:
+        path = self._ingest_path(name, "shown")
+        return self.spark.read.parquet(path).collect() if exists(self.spark, path) else []  # a row for each run and season
+
+    def _shown(self, name: str) -> dict[int | None, str]:
+        return {r["season"]: r["run"] for r in sorted(self._pointers(name), key=lambda r: r["since"])}
+
+    def _of_shown_runs(self, rows: DataFrame, name: str) -> DataFrame:
+        """Rows of the runs shown, by their folders."""
+        shown, run = self._shown(name), F.col(RUN)
+        if SEASON not in rows.columns:
+            return rows.where(run == shown.get(None, FIRST_RUN))
+        season, known = F.col(SEASON), [s for s in shown if s is not None]
+        chosen = ~season.isin(known) & (run == FIRST_RUN) if known else run == FIRST_RUN
+        for one in sorted(set(shown.values())):
+            chosen = chosen | ((run == one) & season.isin([s for s in known if shown[s] == one]))
+        return rows.where(chosen)
 
     def has(self, name: str) -> bool:
         """Whether anything has been ingested under the name."""
@@ -98,9 +143,9 @@ class Lake:
             seasonal = seasonal or season is not None
             types.update({c: t for c, t in columns.items() if c not in types})
         stored = {**types, SEASON: "int"} if seasonal else types
-        schema = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in stored.items())
+        schema = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in {**stored, RUN: "string"}.items())
         rows = self.spark.read.schema(schema).parquet(self._ingest_path(name, "rows"))
-        return rows.select(*[column(c) for c in stored])
+        return self._of_shown_runs(rows, name).select(*[column(c) for c in stored])
 
     def ingested_seasons(self, name: str) -> dict[int, DataFrame]:
         """The table season by season, each with just the columns its files had."""
@@ -113,9 +158,9 @@ class Lake:
 
     def ingested_columns(self, name: str) -> dict[int | None, dict[str, str]]:
         """Season to column types, in order of first appearance."""
-        noted = self.spark.read.option("basePath", self._ingest_path(name, "columns")).parquet(
-            self._ingest_path(name, "columns")
-        )
+        path = self._ingest_path(name, "columns")
+        fields = f"position int, name string, type string, {RUN} string"
+        noted = self._of_shown_runs(self.spark.read.schema(fields).option("basePath", path).parquet(path), name)
         season = F.col(SEASON) if SEASON in noted.columns else F.lit(None).cast("int")
         first_seen = (
             noted.groupBy(season.alias("season"), "name", "type")

@@ -137,3 +137,19 @@ def test_ingest_table_gains_columns(spark, lake):
     assert rows(lake.ingested("t")) == want
     lake.append_batch(batch(("9", "a"), schema="id string, `a b` string"), "t", 0, 2024)
     assert rows(lake.ingested("t")) == [("3", None, 2025), ("9", "a", 2024)]
+
+
+def test_partitions_get_files_by_their_size(spark, lake):
+    """A large season in several files, a small one in one, however many tasks hold their rows."""
+    big = spark.range(60_000, numPartitions=16).select(F.lit(2025).alias("Season"), F.sha2(F.col("id").cast("string"), 512).alias("v"))
+    small = spark.range(64, numPartitions=16).select(F.lit(2024).alias("Season"), F.col("id").cast("string").alias("v"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "2MB")
+    try:
+        stored = lake.refresh(big.unionAll(small), "silver", "sized", ["Season"])
+    finally:
+        spark.conf.set(size, before)
+    of = stored.select("Season", F.col("_metadata.file_path").alias("f")).distinct()
+    files = {r[0]: r[1] for r in of.groupBy("Season").count().collect()}
+    assert files[2024] == 1 and 2 <= files[2025] <= 8 and stored.count() == 60_064

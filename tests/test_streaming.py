@@ -1,10 +1,11 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from snapfold import operators as O
 from snapfold.sources import UTF_8, read_snapshots
-from snapfold.streaming import stream_snapshots, write_latest
+from snapfold.streaming import ingest, stream_snapshots, write_latest
 from tests.conftest import rows
 from tests.test_sources import put
 
@@ -33,6 +34,40 @@ def test_stream_equals_batch_in_any_split(spark, lake, tmp_path):
     assert sorted(files) == [("T_1.csv", 2), ("T_2.csv", 1), ("T_3.csv", 1)]
 
 
+def test_a_reload_that_fails_shows_the_old_rows(spark, lake, tmp_path, monkeypatch):
+    drop = tmp_path / "drop"
+    put(drop, "T_1.csv", "id\n1\n")
+    put(drop, "T_2.csv", "id,more\n2,x\n")
+
+    def run(name, season=2024):
+        stream_snapshots(lake, str(drop), "T_*.csv", "t", UTF_8, season=season, files_per_batch=1, run=name).awaitTermination()
+
+    run("initial")
+    run("initial", 2025)
+    old = rows(lake.ingested("t").select("id", "more", "_season"))
+    assert old == [("1", None, 2024), ("1", None, 2025), ("2", "x", 2024), ("2", "x", 2025)]
+    put(drop, "T_3.csv", "id,more\n3,y\n")
+    read, taken = ingest.read_each, []
+
+    def failing(files, dialect):
+        taken.append(1)
+        if len(taken) == 2:
+            raise OSError("the store is away")
+        return read(files, dialect)
+
+    monkeypatch.setattr(ingest, "read_each", failing)
+    with pytest.raises(Exception, match="the store is away"):
+        run("again")
+    assert len(taken) == 2 and rows(lake.ingested("t").select("id", "more", "_season")) == old
+    run("again")  # goes on where it broke off
+    assert rows(lake.ingested("t").select("id", "_season")) == [("1", 2024), ("1", 2025), ("2", 2024), ("2", 2025), ("3", 2024)]
+    lake.free_old_runs("t")
+    assert rows(lake.ingested("t").select("id", "_season")) == [("1", 2024), ("1", 2025), ("2", 2024), ("2", 2025), ("3", 2024)]
+    (drop / "T_1.csv").unlink()
+    run("01")
+    assert lake.shown_run("t", 2024) == "01" and rows(lake.ingested("t").where("_season = 2024").select("id")) == [("2",), ("3",)]
+
+
 def test_late_and_old_files_are_taken_in(spark, lake, tmp_path):
     import os
 
