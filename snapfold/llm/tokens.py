@@ -31,11 +31,13 @@ class ChunkEncoder:
 
     ``joined``: a space belongs to the word after it (byte-level patterns);
     otherwise white space separates words and leaves no ids.  The cache is
-    emptied when it holds ``most`` chunks, which bounds memory.
+    emptied when it holds ``most`` chunks, which bounds memory.  Texts with one of the
+    strings ``whole`` in them, in any case, are encoded as they are.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], joined: bool, most: int = 800_000):
+    def __init__(self, encode: Callable[[list[str]], list], joined: bool, most: int = 800_000, whole: tuple[str, ...] = ()):
         self.encode, self.joined, self.most = encode, joined, most
+        self.whole = "|".join(map(re.escape, whole))
         self._reset()
 
     def _reset(self) -> None:
@@ -79,6 +81,22 @@ class ChunkEncoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (unsigned 32 bit) and the number of ids of each text."""
         texts = pc.fill_null(texts, "")
+        if not self.whole:
+            return self._chunked(texts)
+        marked = pc.match_substring_regex(texts, self.whole, ignore_case=True)
+        at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        if not len(at):
+            return self._chunked(texts)
+        ids, counts = self._chunked(pc.if_else(marked, "", texts))
+        ends = np.cumsum(counts)
+        parts, before = [], 0
+        for i, own in zip(at.tolist(), self.encode(texts.take(pa.array(at)).to_pylist())):
+            parts += [ids[before : ends[i]], np.array(own, dtype=np.uint32)]
+            before, counts[i] = ends[i], len(own)
+        return np.concatenate([*parts, ids[before:]]), counts
+
+    def _chunked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same by chunks."""
         odd = np.zeros(0, np.int64)
         if self.joined:
             irregular = pc.match_substring_regex(texts, IRREGULAR)
@@ -126,18 +144,18 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
 def library_encoder(path: str, joined: bool) -> ChunkEncoder:
     """An encoder over a ``tokenizers`` file, one per worker process.
 
-    Strings of special tokens in a text are ordinary text, and none is added.
+    None of the special tokens is added; their strings in a text are what the library makes of them.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
 
     def encode(chunks: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    return ChunkEncoder(encode, joined)
+    return ChunkEncoder(encode, joined, whole=special)
 
 
 def vocabulary_size(path: str) -> int:

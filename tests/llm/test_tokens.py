@@ -36,9 +36,11 @@ def docs(spark):
 @pytest.mark.parametrize("name,joined", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_chunks_encode_like_the_library(name, joined):
     plain = Tokenizer.from_file(public_tokenizers.path(name))
-    plain.encode_special_tokens = True
-    texts = [*strings(), None]
-    for encoder in (library_encoder(public_tokenizers.path(name), joined), ChunkEncoder(lambda c: [plain.encode(x, add_special_tokens=False).ids for x in c], joined, most=50)):
+    special = tuple(t.content for t in plain.get_added_tokens_decoder().values())
+    assert special
+    texts = [*strings(), None, *special, *(f"a {t.upper()} b{t}{t[1:]}c \n{t}" for t in special), "x<|STARTOFTEXT|>", "<| endoftext|>", "plain"]
+    own = ChunkEncoder(lambda c: [plain.encode(x, add_special_tokens=False).ids for x in c], joined, most=50, whole=special)
+    for encoder in (library_encoder(public_tokenizers.path(name), joined), own):
         ids, counts = encoder(pa.array(texts))
         parts = np.split(ids, np.cumsum(counts)[:-1])
         assert [p.tolist() for p in parts] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
@@ -98,7 +100,6 @@ def test_token_files(spark, docs, tmp_path):
     rans.write_tokens(docs.withColumn("ids", F.lit(0)), path, tokenizer, end=1)
     found = sorted(rans.read_tokens(spark, path).collect(), key=lambda r: r["start"])
     plain = Tokenizer.from_file(tokenizer)
-    plain.encode_special_tokens = True
     ids_of = {r["doc_id"]: [*plain.encode(r["text"] or "", add_special_tokens=False).ids, 1] for r in docs.collect()}
     at = 0
     assert [r["doc_id"] for r in found] == sorted(r["doc_id"] for r in docs.collect())
@@ -135,7 +136,6 @@ def test_packing(docs):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     found = packing.packed_documents(docs, tokenizer, length=128, with_ids=True).collect()
     plain = Tokenizer.from_file(tokenizer)
-    plain.encode_special_tokens = True
     sequences, pieces = {}, {}
     for r in found:
         sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))

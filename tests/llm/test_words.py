@@ -160,7 +160,6 @@ def test_pipeline_packs_every_piece(spark, tmp_path):
     for _, function in corpus_pipeline.STAGES[:-1]:
         docs = function(spark, docs, str(tmp_path))
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     want = []
     for r in docs.collect():
         ids = [*plain.encode(r["text"] or "", add_special_tokens=False).ids, 0]
