@@ -21,8 +21,8 @@ def bucketed(docs: DataFrame, text: str, name: str, each: int = BUCKET_BYTES) ->
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(-(-total // each), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # Map types have no hash; their text has.
-    keys = [F.to_json(c) if t.startswith("map") else F.col(c) for c, t in docs.dtypes]
+    # Map types have no hash, wherever they are in a column; their text has.
+    keys = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in t else F.col(f"`{c}`") for c, t in docs.dtypes]
     return docs.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 

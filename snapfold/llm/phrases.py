@@ -112,12 +112,12 @@ def locate(words: Words, phrases: list[bytes]) -> np.ndarray:
 
 
 def remove_repeats(
-    docs: DataFrame, text: str = "text", id_column: str = "doc_id", window: int = 20, phrase: int = 8
+    docs: DataFrame, text: str = "text", id_column: str = "doc_id", window: int = 20, phrase: int = 8, joined: bool = True
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed``, ``kept_words`` (joined by one space) and ``kept_text`` appended.
 
     ``kept_text`` is the text with its own white space and without the removed
-    words.  Input columns with these names are replaced.
+    words; ``kept_words`` is null unless ``joined``.  Input columns with these names are replaced.
     """
     added = ("n_words", "n_removed", "kept_words", "kept_text")
     kept = [c for c in docs.columns if c.lower() not in added]
@@ -220,9 +220,11 @@ def remove_repeats(
         short, whole = [], []
         for t, words, b, n in zip(texts, split, begin.tolist(), removed.tolist()):
             keep = ~gone[b : b + len(words)]
-            short.append(b" ".join(w for w, k in zip(words, keep.tolist()) if k) if n else b" ".join(words))
+            if joined:
+                short.append(b" ".join(w for w, k in zip(words, keep.tolist()) if k) if n else b" ".join(words))
             whole.append(_without(t.encode(), keep) if n else t if t is None else t.encode())
         columns = [ordered.column(c) for c in kept]
+        short = short if joined else [None] * len(whole)
         columns += [pa.array(counts), pa.array(removed, pa.int64()), *(pa.array(x, pa.binary()).cast(pa.string()) for x in (short, whole))]
         return pa.table(columns, names=[*kept, *added])
 
