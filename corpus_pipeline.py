@@ -20,27 +20,32 @@ from snapfold.llm.simhash import near_duplicates
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and the whole row, so that no operator's column can clash with one of the input."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    """``doc_id``, ``text`` and the rest of the row in one column, so that no operator's column can clash with one of the input."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*rest).alias("row"))
+
+
+def _unpacked(packed: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` again, the text from the column named."""
+    return packed.select(*[F.col(text).alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor the learned decision list rejects."""
-    measured = stage(document_stats(_packed(docs)).drop("text"), "pipeline-stats")
+    measured = stage(document_stats(_packed(docs)), "pipeline-stats")
     rules = learn_rules(measured, table(spark, sf_dir, "labels"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return measured.where(~failed & rules.keep()).select("row.*")
+    return _unpacked(measured.where(~failed & rules.keep()), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints, that of the smallest id."""
-    return near_duplicates(_packed(docs)).where("representative").select("row.*")
+    return _unpacked(near_duplicates(_packed(docs)).where("representative"), docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that begin earlier in the corpus."""
-    cut = phrases.remove_repeats(_packed(docs))
-    return cut.select(*[F.col("kept_text").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+    return _unpacked(phrases.remove_repeats(_packed(docs), joined=False), docs, "kept_text")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
