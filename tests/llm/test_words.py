@@ -123,6 +123,8 @@ def test_repeated_phrases(docs, rows):
     for r in found.collect():
         assert corpus.words(r["kept_text"]) == corpus.words(r["kept_words"])
         assert r["n_removed"] or r["kept_text"] == r["text"]
+    unjoined = phrases.remove_repeats(clash, joined=False)
+    assert unjoined.drop("kept_words").exceptAll(found.drop("kept_words")).isEmpty() and unjoined.where("kept_words IS NOT NULL").isEmpty()
     assert phrases.remove_repeats(docs.limit(0)).count() == 0
 
 
@@ -151,6 +153,28 @@ def test_pipeline(spark, tmp_path, rows):
     assert {r["doc_id"] for r in packed} == set(ends)
 
 
+def test_pipeline_keeps_columns_of_any_type(spark, tmp_path):
+    """Maps, arrays and structs, with names that operators use as well, come through all stages."""
+    rows = [r for r in corpus.documents(6) if r[0] is not None]
+    documents = spark.createDataFrame(rows, corpus.SCHEMA).withColumns(
+        {
+            "fingerprint": F.create_map(F.lit("k"), F.col("doc_id")),
+            "n_words": F.array(F.create_map(F.lit(1), F.lit("v"))),
+            "kept_text": F.struct(F.lit(1).alias("a.b"), F.create_map(F.lit("x"), F.lit(None).cast("string")).alias("m")),
+            "a.b": F.lit(1.5),
+        }
+    )
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        docs = function(spark, docs, str(tmp_path))
+        assert docs.dtypes == documents.dtypes, name
+    for r in docs.collect():
+        assert r["fingerprint"] == {"k": r["doc_id"]} and r["n_words"] == [{1: "v"}] and r["kept_text"]["m"] == {"x": None} and r["a.b"] == 1.5
+    assert 0 < corpus_pipeline.run(spark, str(tmp_path)).count()
+
+
 def test_pipeline_packs_every_piece(spark, tmp_path):
     """run() against a plain tokenise-and-cut of the texts that the stages before the last one leave."""
     rows = [r for r in corpus.documents(4, copies=False) if r[0] is not None]
