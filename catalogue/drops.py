@@ -272,10 +272,10 @@ def write_invoices(spark: SparkSession, sf_dir: str, folder: str) -> None:
     )
 
 
-def write_debts(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """One row per order; the 2024 files are UTF-8."""
+def debt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One debt per order, as exported."""
     orders = table(spark, sf_dir, "orders").withColumn("_season", order_season())
-    rows = (
+    return (
         orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .selectExpr(
@@ -300,7 +300,16 @@ def write_debts(spark: SparkSession, sf_dir: str, folder: str) -> None:
             "'31/12/2024' AS LastCreditDate",
         )
     )
-    exported = with_snapshots(rows, {"TotalPaymentAmount": "'0'", "LastPaymentDate": "'1990-01-01'"})
+
+
+def write_debts(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Two exports of all debts; the 2024 files are UTF-8."""
+    write_debt_export(
+        with_snapshots(debt_rows(spark, sf_dir), {"TotalPaymentAmount": "'0'", "LastPaymentDate": "'1990-01-01'"}), folder
+    )
+
+
+def write_debt_export(exported: DataFrame, folder: str) -> None:
     for condition, dialect in (("_season <> 2024", K.WINDOWS_1252), ("_season = 2024", K.UTF_8)):
         write_drop(exported.filter(condition), folder, "PlayersDebts_{season}Season", ["_order"], dialect)
 

@@ -12,8 +12,8 @@ from catalogue.drops import RANKED_LINES, ranked_lines, write_drop
 from snapfold import functions as S
 from snapfold import operators as O
 from snapfold.session import scratch_dir
-from snapfold.sources import FILE_ORDER, UTF_8, WINDOWS_1252, Dialect, Lake, read_snapshots
-from snapfold.streaming import stream_snapshots, write_latest
+from snapfold.sources import FILE_ORDER, UTF_8, WINDOWS_1252, Dialect, KeyedTable, Lake, read_snapshots
+from snapfold.streaming import stream_snapshots, upsert_latest, write_latest
 
 EARLY, LATE = "20011001000000", "20011201000000"
 
@@ -291,6 +291,26 @@ def stream_latest(spark, sf):
     return spark.read.parquet(target).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
+@query(
+    "q2_stream_upsert",
+    """SELECT o_custkey, o_orderkey, o_totalprice FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders
+        WHERE year(o_orderdate) < 2001 OR o_custkey % 50 = 0)
+    WHERE r = 1""",
+)
+def stream_upsert(spark, sf):
+    """Two runs of a stream into a table of one row a customer; the second has orders of a few customers only."""
+    source, orders = scratch_dir(spark, "orders-stream"), table(spark, sf, "orders")
+    latest = KeyedTable(spark, scratch_dir(spark, "latest-by-key"), ("o_custkey",), buckets=32)
+    columns = ["o_custkey", "o_orderkey", "o_totalprice", "o_orderdate"]
+    checkpoint = scratch_dir(spark, "upsert-state")
+    for some in ("year(o_orderdate) < 2001", "year(o_orderdate) >= 2001 AND o_custkey % 50 = 0"):
+        orders.where(some).select(*columns).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(orders.select(*columns).schema).parquet(source)
+        upsert_latest(stream, ["o_custkey"], ["o_orderdate", "o_orderkey"], latest, checkpoint).awaitTermination()
+    return latest.read().select("o_custkey", "o_orderkey", "o_totalprice")
+
+
 @query(
     "v1_rows_per_export",
     """SELECT year(o_orderdate)::INT AS season, exported::DATE AS exported, count(*) AS rows, true AS ingested

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -136,15 +136,21 @@ class Lake:
         """Whether anything has been ingested under the name."""
         return exists(self.spark, self._ingest_path(name, "columns"))
 
-    def ingested(self, name: str) -> DataFrame:
-        """All rows of an ingest table; a column a batch lacks is NULL there."""
+    def ingested(self, name: str, after: Mapping[int | None, int] | None = None) -> DataFrame:
+        """All rows of an ingest table; a column a batch lacks is NULL there.
+
+        With ``after``, season to batch, only those of later batches, by their folders.
+        """
         types, seasonal = {}, False
         for season, columns in self.ingested_columns(name).items():
             seasonal = seasonal or season is not None
             types.update({c: t for c, t in columns.items() if c not in types})
         stored = {**types, SEASON: "int"} if seasonal else types
-        schema = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in {**stored, RUN: "string"}.items())
+        schema = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in {**stored, RUN: "string", BATCH: "int"}.items())
         rows = self.spark.read.schema(schema).parquet(self._ingest_path(name, "rows"))
+        for season, batch in (after or {}).items():
+            later = F.col(BATCH) > batch
+            rows = rows.where(later if season is None else (F.col(SEASON) != season) | later)
         return self._of_shown_runs(rows, name).select(*[column(c) for c in stored])
 
     def ingested_seasons(self, name: str) -> dict[int, DataFrame]:
@@ -175,6 +181,14 @@ class Lake:
             columns.setdefault(row.season, {}).setdefault(name, row.type)
         return columns
 
+    def ingested_batches(self, name: str) -> dict[int | None, int]:
+        """Season to its last batch, of the runs shown."""
+        path = self._ingest_path(name, "columns")
+        fields = f"position int, name string, type string, {RUN} string"
+        noted = self._of_shown_runs(self.spark.read.schema(fields).option("basePath", path).parquet(path), name)
+        season = F.col(SEASON) if SEASON in noted.columns else F.lit(None).cast("int")
+        return {r["season"]: r["batch"] for r in noted.groupBy(season.alias("season")).agg(F.max(BATCH).alias("batch")).collect()}
+
     def ingested_files(self, name: str) -> DataFrame:
         """Rows and latest ingest time per source file, newest first."""
         return (

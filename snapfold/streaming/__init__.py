@@ -1,6 +1,6 @@
 """Structured Streaming entry points."""
 
 from snapfold.streaming.ingest import stream_snapshots
-from snapfold.streaming.latest import latest_state, write_latest
+from snapfold.streaming.latest import latest_state, upsert_latest, write_latest
 
-__all__ = ["latest_state", "stream_snapshots", "write_latest"]
+__all__ = ["latest_state", "stream_snapshots", "upsert_latest", "write_latest"]

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from snapfold.functions.text import column
+from snapfold.operators.dedup import latest_by_key
+from snapfold.sources.keyed import KeyedTable
 
 
 def latest_state(stream: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -49,3 +51,26 @@ def write_latest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def upsert_latest(
+    stream: DataFrame, keys: Sequence[str], order: Sequence[str], table: KeyedTable, checkpoint: str
+) -> StreamingQuery:
+    """Keep ``table`` at the newest row per key, for all input present now.
+
+    A micro-batch brings its own rows only and rewrites the buckets they are in; the table itself is
+    the state, so none is kept besides.  A batch that is repeated after a failure changes nothing.
+    """
+
+    def merge(rows: DataFrame, batch: int) -> None:
+        if rows.isEmpty():
+            return
+        newest = latest_by_key(rows, list(keys), list(order), list(keys))
+        table.upsert(newest, list(order), list(keys))
+
+    return (
+        stream.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
