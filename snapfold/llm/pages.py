@@ -4,7 +4,9 @@
 generalised path of its containers (tag, classes and id, digits replaced), and
 scores the containers: a page votes for its outermost article or main element
 that holds most of its unlinked text, else for its deepest container that holds
-all of it, so that only blocks of nothing but links fall outside.  Votes are
+all of it, so that only blocks of nothing but links fall outside, and further down as long
+as what it leaves is teasers by their share of links.  An element whose class, id or role names boilerplate
+is left out unless it holds the page's text itself.  Votes are
 counted per host.  ``extract`` takes the blocks below the host's winning path if
 they hold no less of the page's unlinked text than those below its own choice,
 or if the winner is an article or main element with text on the page while no
@@ -35,7 +37,7 @@ BLOCKS = CONTAINERS | frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg".split())
-LEFT_OUT = frozenset("head nav header footer aside form menu dialog button select object canvas audio video".split()) | RAW
+LEFT_OUT = frozenset("head nav header footer aside menu dialog button select object canvas audio video".split()) | RAW
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar alert dialog form".split())
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert "
@@ -50,6 +52,19 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 LIMITS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 KEPT_NAMES = frozenset("html body main article".split())
 COMMENTS = frozenset("comment comments reply replies".split())
+READERS = COMMENTS | {"respond", "disqus"}
+#: Beside one of these a name says what is there or not, such as "no-sidebar", and not what the element is.
+MODIFIERS = frozenset("no not has have with without open closed hide hidden hides show shown layout enabled disabled".split())
+#: How sure it is that an element is no part of the article: by a part of a class, by a whole one, as readers' comments.
+LIKELY, NAMED, READER = 1, 2, 3
+#: Share of the unlinked text that makes an element the article after all, and, by how sure it was
+#: that it is not, the most that may stand outside all such elements then, as a share of its own.
+HALF = 0.5
+OUTSIDE = {LIKELY: 0.25, NAMED: 0.05}
+#: Unlinked characters that an element left out by name needs at least to be the article after all.
+LEAST = 200
+#: Share of links from which on text beside a container is a list of teasers.
+TEASERS = 0.25
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)|(<[!?/])", re.S)
 #: What ends a tag or changes how it is read; the rest of a tag with bad quotes; declarations.
@@ -63,11 +78,40 @@ MOST = 0.8
 MAIN = re.compile(r"(?:article|main)(?:\.|$)")
 
 
+def sureness(given: dict[str, str]) -> int:
+    """How sure the classes, id and role of an element make it that it is no part of the article, 0 if they say nothing."""
+    role = given.get("role", "").lower()
+    found = (LIKELY if role == "form" else NAMED) if role in ROLES else 0
+    for token in (given.get("class", "") + " " + given.get("id", "")).split():
+        parts = {p.lower() for p in PART.findall(token)}
+        if parts.isdisjoint(NAMES) or len(parts) > 1 and not parts.isdisjoint(MODIFIERS):
+            continue
+        found = max(found, READER if not parts.isdisjoint(READERS) else NAMED if len(parts) == 1 else LIKELY)
+    return found
+
+
+def without_named(blocks: list[tuple[str, str, int, tuple[int, ...]]], sure: list[int]) -> list[tuple[str, str, int]]:
+    """Blocks outside the elements that names leave out.
+
+    One that holds half of the unlinked text, and no little, while hardly any stands outside such elements, is the article whatever it is called;
+    only comments never are.
+    """
+    counted = [(size, within) for _, _, size, within in blocks if all(sure[e] != READER for e in within)]
+    total, plain = sum(size for size, _ in counted), sum(size for size, within in counted if not within)
+    held = [0] * len(sure)
+    for size, within in counted:
+        for e in within:
+            held[e] += size
+    kept = {e for e, s in enumerate(sure) if s != READER and held[e] >= max(LEAST, HALF * total) and plain <= OUTSIDE[s] * held[e]}
+    return [(path, text, size) for path, text, size, within in blocks if kept.issuperset(within)]
+
+
 def blocks_of(html: str) -> list[tuple[str, str, int]]:
     """``(container path, text, unlinked characters)`` of every block outside boilerplate, in page order."""
-    out: list[tuple[str, str, int]] = []
-    # Open elements: tag, path, number of left-out elements up to here, number of links.
-    stack: list[tuple[str, str, int, int]] = [("", "page", 0, 0)]
+    out: list[tuple[str, str, int, tuple[int, ...]]] = []
+    sure: list[int] = []
+    # Open elements: tag, path, number of left-out elements up to here, number of links, elements left out by name.
+    stack: list[tuple[str, str, int, int, tuple[int, ...]]] = [("", "page", 0, 0, ())]
     opened: dict[str, int] = {}
     text: list[str] = []
     unlinked = 0
@@ -77,7 +121,7 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                out.append((stack[-1][1], joined, unlinked))
+                out.append((stack[-1][1], joined, unlinked, stack[-1][4]))
             text.clear()
         unlinked = 0
 
@@ -86,7 +130,7 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
             return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] == tag:
-                if any(t in BLOCKS for t, *_ in stack[k:]):
+                if any(t in BLOCKS for t, *_ in stack[k:]) or stack[-1][4] != stack[k - 1][4]:
                     flush()
                 for t, *_ in stack[k:]:
                     opened[t] -= 1
@@ -97,7 +141,7 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
 
     def say(piece: str) -> None:
         nonlocal unlinked
-        _, _, out_of, links = stack[-1]
+        _, _, out_of, links, _ = stack[-1]
         if piece and not out_of:
             piece = unescape(piece) if "&" in piece else piece
             text.append(piece)
@@ -162,16 +206,20 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
             shut = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             at = seek = shut.end() if shut else len(html)
             continue
-        _, path, out_of, links = stack[-1]
-        classes, left_out = "", tag in LEFT_OUT
+        _, path, out_of, links, within = stack[-1]
+        classes, left_out, doubt = "", tag in LEFT_OUT, LIKELY if tag == "form" else 0
         if rest and not rest.isspace():
             given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)}
             classes = ".".join(sorted(given.get("class", "").lower().split()) + ["#" + i for i in given.get("id", "").lower().split()])
-            names = {p.lower() for key in ("class", "id") for p in PART.findall(given.get(key, ""))}
             if tag in KEPT_NAMES:
+                names = {p.lower() for key in ("class", "id") for p in PART.findall(given.get(key, ""))}
                 left_out = left_out or tag == "article" and not names.isdisjoint(COMMENTS)
             else:
-                left_out = left_out or not names.isdisjoint(NAMES) or given.get("role", "").lower() in ROLES
+                doubt = max(doubt, sureness(given))
+        if doubt and not left_out and not out_of:
+            flush()
+            within = (*within, len(sure))
+            sure.append(doubt)
         if left_out and not out_of:
             flush()
         if tag in CONTAINERS:
@@ -179,14 +227,14 @@ def blocks_of(html: str) -> list[tuple[str, str, int]]:
             # A container directly in one like it is the same place, which also bounds the path of deep nests.
             path = path if path.rpartition(">")[2] == step else f"{path}>{step}"
         opened[tag] = opened.get(tag, 0) + 1
-        stack.append((tag, path, out_of + left_out, links + (tag == "a")))
+        stack.append((tag, path, out_of + left_out, links + (tag == "a"), within))
     say(html[at:])
     flush()
-    return out
+    return without_named(out, sure)
 
 
 def choice(blocks: list[tuple[str, str, int]]) -> str | None:
-    """The outermost article or main path with most of the unlinked text, else the deepest path with all of it."""
+    """The outermost article or main path with most of the unlinked text, else the deepest path with all of it, teasers aside."""
     total = sum(size for _, _, size in blocks)
     held: dict[str, int] = {}
     for path, text, size in blocks:
@@ -198,7 +246,24 @@ def choice(blocks: list[tuple[str, str, int]]) -> str | None:
     marked = [p for p, size in held.items() if size >= MOST * total and MAIN.match(p.rpartition(">")[2])]
     if marked:
         return min(marked, key=lambda p: (p.count(">"), p))
-    return min((p for p, size in held.items() if size == total), key=lambda p: (-p.count(">"), p), default=None)
+    whole = min((p for p, size in held.items() if size == total), key=lambda p: (-p.count(">"), p), default=None)
+    while whole is not None:
+        # Further down while all that is left beside a container with most of the text is teasers.
+        inner = [p for p, size in held.items() if size >= MOST * held[whole] and p.rpartition(">")[0] == whole]
+        beside: dict[str, list[int]] = {}
+        for path, text, size in blocks:
+            if _below(path, whole) and not any(_below(path, p) for p in inner):
+                sums = beside.setdefault(path, [0, 0])
+                sums[0] += len(text) - min(size, len(text))
+                sums[1] += len(text)
+        if not inner or not beside or any(linked < TEASERS * length for linked, length in beside.values()):
+            break
+        whole = inner[0]
+    return whole
+
+
+def _below(path: str, container: str) -> bool:
+    return path == container or path.startswith(f"{container}>")
 
 
 def page_blocks(pages: DataFrame, html: str = "html", blocks: str = "blocks", chosen: str = "chosen") -> DataFrame:

@@ -205,6 +205,47 @@ def test_pages_keep_titles_leads_and_second_templates(spark):
         assert texts[6:11] == texts[:5][:3] + texts[:2] and texts[11:] == [["teaser", text]] * 2
 
 
+ARTICLE = "<h1>Title</h1><p>" + "body text of the article " * 20 + "</p><p>last words</p>"
+WORDS = ["Title", ("body text of the article " * 20).strip(), "last words"]
+
+
+@pytest.mark.parametrize(
+    "around",
+    ["class='wp-sidebar-layout'", "id='no-sidebar'", "class='content-with-sidebar'", "class='share-story'", "class='related-work'", "class='post comments-open'", "class='widget'"],
+)
+def test_an_article_is_one_whatever_it_is_called(spark, around):
+    page = f"<body><nav>menu</nav><div {around}>{ARTICLE}</div><div class='site-footer'>imprint</div><div id=comments><p>{'a reader says ' * 90}</div></body>"
+    rows = [(i, f"http://h.example/{i}", page) for i in range(3)]
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert [r["text"].split("\n") for r in found.collect()] == [WORDS] * 3
+
+
+def test_names_leave_out_what_is_not_most_of_the_text():
+    def texts(html):
+        return [t for _, t, _ in pages.blocks_of(html)]
+
+    form = f"<form id=aspnetForm><div class=top-menu>menu</div><div>{ARTICLE}</div><p><input> <button>send</button></form>"
+    assert texts(form) == WORDS  # a form around the page
+    assert texts(f"<div>{ARTICLE}</div><form><p>Your name <input></form>") == WORDS
+    for name in ("class=main-nav", "class=sidebar", "id=cookie-notice", "class='post related'", "role=navigation", "class=comment-list", "class=siteFooter"):
+        assert texts(f"<div>{ARTICLE}</div><div {name}><p>{'other words ' * 15}</div>") == WORDS
+    # Long comments are no article, and a short one stays beside a longer footer.
+    assert texts(f"<div>{ARTICLE}</div><div class=post-comments><p>{'a reader says ' * 900}</div>") == WORDS
+    assert texts(f"<p>short text<div class=site-footer>{'imprint and more ' * 5}</div>") == ["short text"]
+    assert texts("<p>before <span class=share-box>Share this</span> after") == ["before", "after"]
+    assert texts("<div class=comments>all there is</div>") == []
+
+
+def test_teasers_beside_the_text_are_outvoted(spark):
+    teaser = "<div><a href=/x>Another story of the day</a> in short</div>"
+    plain = f"<body>{teaser}<div class=story>{ARTICLE}</div>{teaser}</body>"
+    lead = f"<body><div><b>Lead</b> of the story</div><div class=story>{ARTICLE}</div></body>"
+    made = [("a.example", plain)] * 3 + [("b.example", lead)] * 3
+    frame = spark.createDataFrame([(i, f"http://{h}/{i}", t) for i, (h, t) in enumerate(made)], "page_id long, url string, html string")
+    texts = [r["text"].split("\n") for r in pages.extract(frame).orderBy("page_id").collect()]
+    assert texts == [WORDS] * 3 + [["Lead of the story", *WORDS]] * 3
+
+
 def test_long_attribute_values_are_no_text():
     for quote, other in ("\"'", "'\""):
         value = f"<b> > {other} " * 2000
