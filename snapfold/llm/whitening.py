@@ -23,12 +23,14 @@ rows like any other; an empty table gives no rows; a deviation beyond 38 digits
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import add
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices, MatrixUDT
 from pyspark.mllib.linalg.distributed import BlockMatrix
@@ -135,13 +137,12 @@ def whiten(
         """The centred rows of a panel; places of no row, or of none that counts, hold zeros."""
 
         def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for b in batch.to_pylist():
-                    values = np.zeros((rows_each, width))
-                    found, at = centre.centred(np.array(b["x"], dtype=np.int64).reshape(-1, width)), np.array(b["at"])
-                    chosen = np.array(b["fit"]) if fitted_only else slice(None)
-                    values[at[chosen]] = found[chosen]
-                    yield _matrix_rows(b["block"] % panel_blocks, values)
+            for block, at, fit, whole in _each(batches):
+                values = np.zeros((rows_each, width))
+                found = centre.centred(whole.reshape(-1, width))
+                chosen = fit if fitted_only else slice(None)
+                values[at[chosen]] = found[chosen]
+                yield _matrix_rows(block % panel_blocks, values)
 
         found = blocks.where(F.col("panel") == panel).select("block", "at", "fit", "x").mapInArrow(dense, BLOCKS)
         return _block_matrix(found, rows_each, min(width, BLOCK_COLUMNS), panels[panel] * rows_each, width)
@@ -155,10 +156,13 @@ def whiten(
         return Whitened(_without(numbered.select(*kept)), centre.fitted, [], [], 0.0)
 
     whitening = _local_matrix(numbered.sparkSession, axes[:, top] / np.sqrt(values[top]))
-    products = reduce(
-        DataFrame.unionAll, (_matrix_blocks(matrix(p, False).multiply(whitening)).withColumn("block", F.col("block") + p * panel_blocks) for p in panels)
-    )
-    projected = stage(blocks.select("panel", "block", "at", "fit").join(products, "block"), "whitened-blocks")
+    parts = []
+    for p in panels:
+        with _held(matrix(p, False)) as rows:
+            product = _matrix_blocks(rows.multiply(whitening)).withColumn("block", F.col("block") + p * panel_blocks)
+            of_panel = blocks.where(F.col("panel") == p).select("panel", "block", "at", "fit")
+            parts.append(stage(of_panel.join(product, "block"), "whitened-blocks"))
+    projected = reduce(DataFrame.unionAll, parts)
     again = reduce(add, (_gram(_projected_fit(projected, p, rows_each, len(top), panels[p], panel_blocks), panels[p]) for p in panels))
     error = float(np.abs(again / centre.fitted - np.eye(len(top))).max())
     return Whitened(
@@ -218,14 +222,13 @@ def _centre(blocks: DataFrame, width: int) -> Centre:
     """Sums over the fit list and ranges over all vectors; a row for each block and dimension is added up."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in batch.to_pylist():
-                x, fit = np.array(b["x"], dtype=np.int64).reshape(-1, width), np.array(b["fit"])
-                sums, low, high = x[fit].sum(axis=0), x.min(axis=0), x.max(axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(width)), pa.array(sums), pa.array(low), pa.array(high), pa.array([int(fit.sum())] * width, pa.int64())],
-                    names=["d", "s", "low", "high", "n"],
-                )
+        for whole, fit in _each(batches):
+            x = whole.reshape(-1, width)
+            sums, low, high = x[fit].sum(axis=0), x.min(axis=0), x.max(axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(width)), pa.array(sums), pa.array(low), pa.array(high), pa.array([int(fit.sum())] * width, pa.int64())],
+                names=["d", "s", "low", "high", "n"],
+            )
 
     parts = blocks.select("x", "fit").mapInArrow(partial, "d long, s long, low long, high long, n long")
     of = parts.groupBy("d").agg(F.sum(F.col("s").cast("decimal(38,0)")).alias("s"), F.max("high").alias("high"), F.min("low").alias("low"), F.sum("n").alias("n"))
@@ -233,6 +236,24 @@ def _centre(blocks: DataFrame, width: int) -> Centre:
     return Centre(found[0]["n"], [int(r["s"]) for r in found], max(r["high"] - r["low"] for r in found))
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    """The rows of batches: a number as it is, a list as an array without a copy of its values where there need be none."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            cells = [column[i] for column in batch.columns]
+            yield [c.values.to_numpy(zero_copy_only=False) if isinstance(c, pa.ListScalar) else c.as_py() for c in cells]
+
+
+@contextmanager
+def _held(matrix: BlockMatrix) -> Iterator[BlockMatrix]:
+    """The matrix with its blocks held while it is used several times, in memory or on disk; lost ones are made again."""
+    matrix.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield matrix
+    finally:
+        matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
+
+
 def _matrix_rows(row: int, values: np.ndarray) -> pa.RecordBatch:
     """One block of rows as matrix blocks, one for each range of columns."""
     parts = [values[:, c : c + BLOCK_COLUMNS] for c in range(0, values.shape[1], BLOCK_COLUMNS)]
@@ -268,8 +289,9 @@ def _local_matrix(spark: SparkSession, values: np.ndarray) -> BlockMatrix:
 def _gram(matrix: BlockMatrix, blocks: int) -> np.ndarray:
     """The transpose times the matrix, columns squared, from as many tasks as the blocks need."""
     splits = -(-blocks // INNER_BLOCKS)
-    product = matrix.transpose()._java_matrix_wrapper.call("multiply", matrix._java_matrix_wrapper._java_model, splits)
-    return BlockMatrix(product, matrix.colsPerBlock, matrix.colsPerBlock).toLocalMatrix().toArray()
+    with _held(matrix):
+        product = matrix.transpose()._java_matrix_wrapper.call("multiply", matrix._java_matrix_wrapper._java_model, splits)
+        return BlockMatrix(product, matrix.colsPerBlock, matrix.colsPerBlock).toLocalMatrix().toArray()
 
 
 def _matrix_blocks(product: BlockMatrix) -> DataFrame:
@@ -277,10 +299,13 @@ def _matrix_blocks(product: BlockMatrix) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for place, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                values = np.array(m["values"])
-                y = values.reshape(m["numRows"], m["numCols"], order="C" if m["isTransposed"] else "F")
-                yield pa.RecordBatch.from_arrays([pa.array([int(place["_1"])], pa.int64()), pa.array([y.reshape(-1)], pa.list_(pa.float64()))], names=["block", "y"])
+            numbers = batch.column(0).field(0).to_pylist()
+            of = {name: batch.column(1).field(name) for name in ("numRows", "numCols", "isTransposed", "values")}
+            for i, number in enumerate(numbers):
+                values = of["values"][i].values.to_numpy(zero_copy_only=False)
+                shape = of["numRows"][i].as_py(), of["numCols"][i].as_py()
+                y = values.reshape(shape, order="C" if of["isTransposed"][i].as_py() else "F")
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([y.reshape(-1)], pa.list_(pa.float64()))], names=["block", "y"])
 
     return callMLlibFunc("getMatrixBlocks", product._java_matrix_wrapper._java_model).mapInArrow(rows, "block long, y array<double>")
 
@@ -289,11 +314,10 @@ def _projected_fit(projected: DataFrame, panel: int, rows_each: int, width: int,
     """The projected fit list of a panel as blocks; its columns have mean zero, as they come from centred rows."""
 
     def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in batch.to_pylist():
-                y, chosen = np.array(b["y"]).reshape(rows_each, width), np.zeros(rows_each, dtype=bool)
-                chosen[np.array(b["at"])[np.array(b["fit"])]] = True
-                yield _matrix_rows(b["block"] % panel_blocks, np.where(chosen[:, None], y, 0.0))
+        for block, at, fit, y in _each(batches):
+            chosen = np.zeros(rows_each, dtype=bool)
+            chosen[at[fit]] = True
+            yield _matrix_rows(block % panel_blocks, np.where(chosen[:, None], y.reshape(rows_each, width), 0.0))
 
     found = projected.where(F.col("panel") == panel).select("block", "at", "fit", "y").mapInArrow(dense, BLOCKS)
     return _block_matrix(found, rows_each, width, n_blocks * rows_each, width)
@@ -303,10 +327,10 @@ def _joined(numbered: DataFrame, projected: DataFrame, kept: list[str], x: str,
     """The numbered rows with their projection and exact deviation."""
 
     def by_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in batch.to_pylist():
-                y, at = np.array(b["y"]).reshape(rows_each, -1), np.array(b["at"])
-                yield pa.RecordBatch.from_arrays([pa.array(at + b["block"] * rows_each), pa.array(list(y[at]), pa.list_(pa.float64()))], names=["place", "y"])
+        for block, at, y in _each(batches):
+            found = y.reshape(rows_each, -1)[at]
+            ends = pa.array(np.arange(len(at) + 1, dtype=np.int32) * found.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(at + block * rows_each), pa.ListArray.from_arrays(ends, pa.array(found.reshape(-1)))], names=["place", "y"])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
