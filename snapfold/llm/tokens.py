@@ -8,6 +8,7 @@ gathered from the chunks' ids.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable
@@ -20,9 +21,13 @@ import pyarrow.compute as pc
 #: Fixed value: the characters that tokenizer patterns may count as white space.
 SPACES = "\t-\r \x1c-\x1f\x85\xa0 ᠎ -​    　"
 #: Texts where white space is more than single spaces and line feeds.
-IRREGULAR = "[ \n]{2}|[\t\x0b-\r\x1c-\x1f\x85\xa0 ᠎ -​    　]"
+IRREGULAR = "[ \n]{2}|[\x01\t\x0b-\r\x1c-\x1f\x85\xa0 ᠎ -​    　]"
 #: White space as the tokenizers' own patterns see it (Unicode White_Space).
 WHITE = "\t-\r \x85\xa0  -     　"
+#: ASCII marks at the end of a word, which both families' patterns keep apart from the letter or digit before them.
+MARKS = r"([A-Za-z0-9À-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)( |$)"
+#: Goes before marks cut off a word, which follow no space.
+CUT = "\x01"
 CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 
@@ -32,11 +37,12 @@ class ChunkEncoder:
     ``joined``: a space belongs to the word after it (byte-level patterns);
     otherwise white space separates words and leaves no ids.  The cache is
     emptied when it holds ``most`` chunks, which bounds memory.  Texts with one of the
-    strings ``whole`` in them, in any case, are encoded as they are.
+    strings ``whole`` in them, in any case, are encoded as they are.  With ``lower`` the
+    encoder makes no difference between cases (of words without a space of their own).
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], joined: bool, most: int = 800_000, whole: tuple[str, ...] = ()):
-        self.encode, self.joined, self.most = encode, joined, most
+    def __init__(self, encode: Callable[[list[str]], list], joined: bool, most: int = 800_000, whole: tuple[str, ...] = (), lower: bool = False):
+        self.encode, self.joined, self.most, self.lower = encode, joined, most, lower
         self.whole = "|".join(map(re.escape, whole))
         self._reset()
 
@@ -62,7 +68,7 @@ class ChunkEncoder:
             new = list(dict.fromkeys(c for c, at in zip(chunks, given) if at is None))
             for at in range(0, len(new), 4096):
                 part = new[at : at + 4096]
-                self._learn(known, part, [c if not prefix or c[:1] == "\n" else prefix + c for c in part])
+                self._learn(known, part, [_spoken(c) for c in part] if prefix else part)
         return np.array([*map(self.spaced.__getitem__, spaced), *map(self.plain.__getitem__, plain)], dtype=np.int64)
 
     def _learn(self, known: dict[str, int], keys: list[str], chunks: list[str]) -> None:
@@ -102,8 +108,10 @@ class ChunkEncoder:
             irregular = pc.match_substring_regex(texts, IRREGULAR)
             odd = np.flatnonzero(irregular.to_numpy(zero_copy_only=False))
             regular = pc.replace_substring(pc.if_else(irregular, "", texts), "\n", " \n")
+            regular = pc.replace_substring_regex(regular, MARKS, rf"\1 {CUT}\2\3")
         else:
-            regular = pc.replace_substring(texts, "\n", " ")
+            regular = pc.replace_substring(pc.ascii_lower(texts) if self.lower else texts, "\n", " ")
+            regular = pc.replace_substring_regex(regular, MARKS, r"\1 \2\3")
         lists = pc.split_pattern(regular, " ")
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
@@ -132,6 +140,13 @@ class ChunkEncoder:
         return ids, np.diff(bounds)
 
 
+def _spoken(chunk: str) -> str:
+    """A chunk that followed a space in the text as split, with that space where the text itself has it."""
+    if chunk[:1] == CUT:
+        return chunk[1:]
+    return chunk if chunk[:1] == "\n" else f" {chunk}"
+
+
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
     if size <= len(array):
         return array
@@ -155,7 +170,7 @@ def library_encoder(path: str, joined: bool) -> ChunkEncoder:
     def encode(chunks: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    return ChunkEncoder(encode, joined, whole=special)
+    return ChunkEncoder(encode, joined, whole=special, lower="Lowercase" in str(json.loads(tokenizer.to_str())["normalizer"]))
 
 
 def vocabulary_size(path: str) -> int:
