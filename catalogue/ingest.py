@@ -311,6 +311,23 @@ def stream_upsert(spark, sf):
     return latest.read().select("o_custkey", "o_orderkey", "o_totalprice")
 
 
+@query(
+    "h3_stored_sketches",
+    "SELECT year(o_orderdate)::INT AS season, count(DISTINCT o_custkey) AS customers, true AS within_two_percent FROM orders GROUP BY 1",
+)
+def stored_sketches(spark, sf):
+    """Customers of a season from the stored sketches of its exports, against the exact count; one export came twice, one late."""
+    orders = table(spark, sf, "orders").selectExpr("year(o_orderdate) AS season", "month(o_orderdate) AS export", "o_custkey", "1L AS taken")
+    stored = KeyedTable(spark, scratch_dir(spark, "sketches"), ("season", "export"), buckets=8)
+    for some in ("export <> 12", "export IN (6, 12)"):
+        new = O.distinct_sketches(orders.where(some), ["season", "export", "taken"], "o_custkey")
+        stored.upsert(new, ["taken"], ["season", "export"])
+    about = O.merged_distinct(stored.read(), ["season"], "about")
+    exact = orders.groupBy("season").agg(F.count_distinct("o_custkey").alias("customers"))
+    close = F.abs(F.col("about") - F.col("customers")) <= 0.02 * F.col("customers")
+    return exact.join(about, "season").select("season", "customers", close.alias("within_two_percent"))
+
+
 @query(
     "v1_rows_per_export",
     """SELECT year(o_orderdate)::INT AS season, exported::DATE AS exported, count(*) AS rows, true AS ingested

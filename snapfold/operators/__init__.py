@@ -22,6 +22,7 @@ from snapfold.operators.periods import Periods
 from snapfold.operators.quality import DROP, WARN, Checked, Rule, check, finite, keep_passing, observed
 from snapfold.operators.reshape import pivot_sum, unpivot_blocks
 from snapfold.operators.scanned import fill_scanned
+from snapfold.operators.sketches import distinct_sketches, merged_distinct
 
 __all__ = [
     "Checked",
@@ -33,6 +34,7 @@ __all__ = [
     "conform_union",
     "dim_scd1",
     "distinct_by",
+    "distinct_sketches",
     "drop_present",
     "ensure_columns",
     "fill_scanned",
@@ -43,6 +45,7 @@ __all__ = [
     "latest_by_key",
     "latest_snapshot_rows",
     "membership_rollup",
+    "merged_distinct",
     "null_if_denied",
     "observed",
     "pivot_sum",
