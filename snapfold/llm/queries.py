@@ -104,9 +104,10 @@ def op3_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes left in every document after removing repeated strings."""
+    """Bytes left in every document after removing repeated strings, and as text: a character cut in two is replaced."""
     kept = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+    text = F.make_valid_utf8(F.col("kept_bytes").cast("string"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"), text.alias("kept_text"))
 
 
 @query

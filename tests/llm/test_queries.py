@@ -17,7 +17,7 @@ COLUMNS = {
     "op4": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op5": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op6": "doc_id n_tokens ids_sha256 decoded_sha256",
-    "op7": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op7": "doc_id n_bytes n_removed n_spans kept_sha256 kept_text",
     "op8": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9": "page_id url text n_chars",
     "op10": "vec_id n_links component_id kept",
