@@ -104,3 +104,16 @@ def test_files_without_rows(spark, tmp_path):
     (tmp_path / "c.csv").write_text('id,t\n1,"x\ny"\n')
     expected, found, _ = both(spark, f"{tmp_path}/*.csv", UTF_8)
     assert found == expected and len(found) == 1
+
+
+def test_chunks_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Many long lines make many chunks, so that no task holds them all; the rows stay what they are."""
+    monkeypatch.setattr(splits, "CHUNK_BYTES", 500)
+    monkeypatch.setitem(CONF, "spark.sql.files.maxPartitionBytes", 1 << 20)
+    body = "".join(f'{i},"{"word " * 20}\n{"x" * 150}, ""{i}""",é\n' for i in range(60))
+    (tmp_path / "a.csv").write_text(f'id,t,u\n{body}60,"{"y" * 1500}",z\n')
+    chunks = splits.stored_chunks(spark, [str(tmp_path / "a.csv")], ",", '"', True)
+    sizes = [r[0] for r in chunks.selectExpr("octet_length(bytes)").collect()]
+    assert len(sizes) > 30 and sorted(sizes)[-2] <= 500 and sum(sizes) == (tmp_path / "a.csv").stat().st_size
+    expected, found, _ = both(spark, f"{tmp_path}/a.csv", UTF_8)
+    assert found == expected and len(found) == 61
