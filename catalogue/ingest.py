@@ -61,9 +61,13 @@ def csv_snapshots(spark, sf):
     return _typed_orders(read_snapshots(spark, f"{order_files(spark, sf)}/Orders_*Season*.csv"))
 
 
+#: Lines of a large file. A file is written by one task, so that more lines make more files.
+LINES_A_FILE = 2_000_000
+
+
 @once_per_session
 def large_export(spark, sf):
-    """All order lines in one file: the order's cells on its first line only, and line feeds in the text of most lines."""
+    """All order lines in large files: the order's cells on its first line only, and line feeds in the text of most lines."""
     folder = scratch_dir(spark, "large")
     lines = ranked_lines(spark, sf).selectExpr(
         "o_orderkey AS _order",
@@ -74,7 +78,8 @@ def large_export(spark, sf):
         "CAST(pos AS string) AS line",
         """concat(repeat('"', CAST(pos % 3 AS int)), p_name, repeat(concat(',', chr(10)), CAST(pos % 4 AS int)), '; ', p_type) AS note""",
     )
-    write_drop(lines, folder, "Lines", ["_order", "_pos"], parts=1)
+    files = -(-table(spark, sf, "lineitem").count() // LINES_A_FILE)
+    write_drop(lines, folder, "Lines", ["_order", "_pos"], parts=max(files, 1))
     return folder
 
 

@@ -53,3 +53,31 @@ def test_teams_need_no_lines(spark, tmp_path, tables):
     lake = drops.cleaned_lake(spark, tables, "silver_team_details", "silver_team_lists")
     assert lake.scan("silver", "silver_team_details").count() == 3 and lake.scan("silver", "silver_team_lists").count() == 6
     assert not lake.has("bronze_players_debts") and not exports(tmp_path)
+
+
+def test_more_lines_make_more_large_files(spark, tmp_path, monkeypatch):
+    """No task writes all lines: a large file holds a bounded number of them, and an order stays in one file."""
+    folder = str(tmp_path / "tables")
+    lines = [
+        (o, o % 5, n, 1, n, 10.0, 0.0, 0.0, "A", "F", dt.datetime(1995, 1, 1)) for o in range(200) for n in range(1, 4)
+    ]
+    frames = {
+        "lineitem": (
+            lines,
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity int, l_extendedprice double, l_discount double, l_tax double, "
+            "l_returnflag string, l_linestatus string, l_shipdate timestamp",
+        ),
+        "orders": ([(i, i % 4, dt.datetime(1995 + i % 7, 3, 1), "1-URGENT") for i in range(200)], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string"),
+        "customer": ([(i, f"C{i}") for i in range(4)], "c_custkey long, c_name string"),
+        "part": ([(i, f"part {i}", "TIN") for i in range(5)], "p_partkey long, p_name string, p_type string"),
+    }
+    for name, (rows, schema) in frames.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    monkeypatch.setattr(ingest, "LINES_A_FILE", 100)
+    files = glob.glob(f"{ingest.large_export(spark, folder)}/*.csv")
+    assert 4 <= len(files) <= 6
+    rows = ingest.large_export_rows(spark, folder).collect()
+    assert len(rows) == 600 and all(r["in_order"] for r in rows)
+    assert all(r["lines"] == 3 for r in ingest.large_export_groups(spark, folder).collect())
+    filled = ingest.large_export_fill(spark, folder).groupBy("reference").count().collect()
+    assert len(filled) == 200 and {r["count"] for r in filled} == {3}
