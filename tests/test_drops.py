@@ -81,3 +81,51 @@ def test_more_lines_make_more_large_files(spark, tmp_path, monkeypatch):
     assert all(r["lines"] == 3 for r in ingest.large_export_groups(spark, folder).collect())
     filled = ingest.large_export_fill(spark, folder).groupBy("reference").count().collect()
     assert len(filled) == 200 and {r["count"] for r in filled} == {3}
+
+
+@pytest.fixture
+def lines(spark, tables):
+    """Lines and parts in the folder of ``tables``."""
+    rows = [(o, o % 5 + n, 1, n, n, 10.0 * n, 0.0, 0.0, "A", "F", dt.datetime(1995, 1, 1)) for o in range(1, 50) for n in range(1, 4)]
+    frames = {
+        "lineitem": (
+            rows,
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity int, l_extendedprice double, l_discount double, l_tax double, "
+            "l_returnflag string, l_linestatus string, l_shipdate timestamp",
+        ),
+        "part": ([(i, f"part {i}", f"B{i}", "TIN", i) for i in range(9)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+        "orders": (
+            [(i, i % 4 + 1, dt.datetime(1995 + i % 7, 3, 1 + i % 28), 10.25 * i, "1-URGENT", "O") for i in range(1, 50)],
+            "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double, o_orderpriority string, o_orderstatus string",
+        ),
+    }
+    for name, (rows, schema) in frames.items():
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{tables}/{name}.parquet")
+    return tables
+
+
+def test_many_lines_are_taken_in_by_slices_of_orders(spark, tmp_path, lines, monkeypatch):
+    """Never a whole season on disk; the same invoices and the last file still has the largest orders."""
+    monkeypatch.setattr(drops, "LINES_A_SLICE", 60)
+    monkeypatch.setattr(drops, "SEASONS", (2020, 2021))
+    seen, take_in = [], drops.ingest
+
+    def watched(lake, folder, seasons, **more):
+        seen.append(len([f for f in glob.glob(f"{folder}/*.csv") if os.path.getsize(f) > 0]))
+        take_in(lake, folder, seasons, **more)
+
+    monkeypatch.setattr(drops, "ingest", watched)
+    lake = drops.cleaned_lake(spark, lines, "silver_invoices")
+    assert len(seen) == 6 and all(seen) and not exports(tmp_path)
+    bronze = lake.ingested("bronze_registration_invoices")
+    found = bronze.where("Reference is not null").selectExpr("_source_file AS f", "_season AS s", "CAST(Reference AS int) AS r").collect()
+    assert len(found) == 28 and {r["r"] for r in found} == {i for i in range(1, 50) if i % 7 < 2}
+    for stamp in ("0301120000", "0901120000"):
+        for season in (2020, 2021):
+            keys = [r["r"] for r in sorted((r for r in found if r["s"] == season and stamp in r["f"]), key=lambda r: (r["f"], r["r"]))]
+            assert len(keys) == 7 and keys == sorted(keys)
+    stored = lake.scan("silver", "silver_invoices")
+    assert stored.count() == 14 and {r["Season"] for r in stored.collect()} == {2020, 2021}
+    for label in ("ranked-lines", "filled"):
+        folders = glob.glob(f"{tmp_path}/scratch/{label}-*")
+        assert folders and not any(os.path.getsize(f) for d in folders for f in glob.glob(f"{d}/**/*.parquet", recursive=True))
