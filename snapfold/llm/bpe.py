@@ -29,7 +29,7 @@ from snapfold.llm.tokens import ChunkEncoder
 
 WORD_BITS = 256
 #: Short pre-tokens whose ids a worker keeps.
-SEEN = 400_000
+SEEN = 100_000
 
 
 class RankQueue:
@@ -110,8 +110,7 @@ class BytePairs:
         for token, i in ranks.items():
             tokens[i] = token
         self.lengths = np.array([len(t) for t in tokens])
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.tokens = pa.array(tokens, pa.large_binary())
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
@@ -168,9 +167,8 @@ class BytePairs:
         """The bytes of all ids in a row, and how many each id has."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths) or not self.lengths[ids].all()):
             raise KeyError("an id is outside the vocabulary")
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        return self.bytes[np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)], lengths
+        data = self.tokens.take(pa.array(ids)).buffers()[2]
+        return np.frombuffer(data or b"", np.uint8), self.lengths[ids]
 
 
 @lru_cache(maxsize=2)

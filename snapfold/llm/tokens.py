@@ -69,7 +69,11 @@ class ChunkEncoder:
             for at in range(0, len(new), 4096):
                 part = new[at : at + 4096]
                 self._learn(known, part, [_spoken(c) for c in part] if prefix else part)
-        return np.array([*map(self.spaced.__getitem__, spaced), *map(self.plain.__getitem__, plain)], dtype=np.int64)
+        # Only those just learned are looked up again.
+        for i, at in enumerate(found):
+            if at is None:
+                found[i] = self.spaced[spaced[i]] if i < split else self.plain[plain[i - split]]
+        return np.array(found, dtype=np.int64)
 
     def _learn(self, known: dict[str, int], keys: list[str], chunks: list[str]) -> None:
         lists = self.encode(chunks)
