@@ -165,6 +165,34 @@ def test_scores_are_those_of_a_plain_class_model(spark):
     assert len(found) == len(rows) and len(heads) == 4 and len(three) > 50
 
 
+def test_scores_are_those_of_a_plain_model_of_all_words(spark):
+    """Words far rarer than one in 5,000, contexts spread over several shards, copies, and words and n-grams of held-out texts only."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["the", "of", "The", f"w{rng.randint(0, 40)}", f"r{rng.randint(0, 3000)}"]) for _ in range(rng.randint(0, 90)))) for i in range(400)]
+    rows += [rows[7], rows[7], (None, "of the null"), (401, None)]
+    found = ngrams.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    texts = [(i, [None, *(t or "").lower().split(), None]) for i, t in rows]
+    train = [t for i, t in texts if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    n = [Counter(tuple(t[i : i + k]) for t in train for i in range(k == 1, len(t) - k + 1)) for k in (1, 2, 3)]
+    total, whole = sum(n[0].values()), sum(n[0].values()) + len(n[0]) + 1
+    assert min(n[0].values()) * 5000 < total
+    contexts = [Counter(g[:-1] for g in c.elements()) for c in n]
+    followers = [Counter(g[:-1] for g in c) for c in n]
+
+    def share(gram):
+        if len(gram) == 1:
+            return (n[0][gram] + 1) / whole
+        k, context, below = len(gram) - 1, gram[:-1], share(gram[1:])
+        if not contexts[k][context]:
+            return below
+        return (max(n[k][gram] - 0.75, 0) + 0.75 * followers[k][context] * below) / contexts[k][context]
+
+    expected = sorted((str(i), sum(math.log10(share(tuple(t[max(0, k - 2) : k + 1]))) for k in range(1, len(t)))) for i, t in texts)
+    assert abs(sum(10 ** math.log10(share(("the", "of", w))) for (w,) in n[0]) + share(("the", "of", "never")) - 1) < 1e-9
+    for (i, score), (j, wanted) in zip(sorted((str(r["doc_id"]), r["score"]) for r in found), expected, strict=True):
+        assert i == j and abs(score - wanted) < 1e-6
+
+
 PAGE = (
     "<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var t='</p>';</script></head><body class='has-sidebar'>"
     "<header><h1>Site</h1></header><nav><ul><li><a href=/a>menu</a></ul></nav><div class='cookie-notice'>we use</div>"
