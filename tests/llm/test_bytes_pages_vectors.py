@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from snapfold.llm import embeddings, ngrams, pages, suffixes
+from snapfold.llm import buckets, embeddings, ngrams, pages, suffixes
 from tests.llm import corpus
 
 
@@ -21,6 +21,41 @@ def test_suffix_array():
     assert suffixes.suffix_array([0]) == [0]
 
 
+def test_rows_are_sorted_from_few_symbols(monkeypatch):
+    rng = np.random.default_rng(4)
+    lengths = []
+    plain = suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda symbols: lengths.append(len(symbols)) or plain(symbols))
+    left, right = (rng.choice(np.array([0, 97, 98], np.uint8), (60, width)) for width in (336, 400))
+    for side in (left, right):
+        side[20:40, 100:] = side[:20, 100:]
+        side[30:50, :330] = side[0, :330]
+        side[50:] = side[:10]
+    for side, order in zip((left, right), suffixes._sorted_rows(left, right)):
+        assert sorted(order.tolist()) == list(range(60))
+        assert [side[k].tobytes() for k in order] == sorted(row.tobytes() for row in side)
+    # 6 and 7 cells and a separator for each different row, not 21 and 25 for every row.
+    assert lengths == [50 * (6 + 1 + 7 + 1) + 1]
+
+
+def test_anchors_in_blocks(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abé") for _ in range(n)) for n in (900, 0, 12, 40, 500)] + [None]
+    data = suffixes.Bytes(texts)
+    whole = data.hashes(16)
+    for block in (1, 50, 64):
+        for module in (buckets, suffixes):
+            monkeypatch.setattr(module, "BLOCK", block)
+        assert np.array_equal(data.hashes(16), whole) and len(whole) == len(data.raw) - 15
+        inside = data.inside(40)
+        assert inside.tolist() == [any(b <= i and i + 40 <= e for b, e in zip(data.begins, data.ends)) for i in range(len(data.raw))]
+        want = set()
+        for i in np.flatnonzero(inside):
+            stretch = whole[i : i + 25]
+            want |= {int(i) + k for k in np.flatnonzero(stretch == stretch.min()).tolist()}
+        assert buckets.minimizers(whole, 25, inside).tolist() == sorted(want)
+
+
 @pytest.mark.parametrize("hot_anchor", [2_000, 3])
 def test_repeated_bytes(spark, hot_anchor):
     rng = random.Random(5)
