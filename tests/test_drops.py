@@ -49,6 +49,19 @@ def test_exports_of_a_season_or_two_at_once(spark, tmp_path, tables, monkeypatch
     assert not lake.has("bronze_registrations") and not lake.has("bronze_team_lists")
 
 
+def test_both_snapshots_come_from_one_scan(spark, tables):
+    debts = drops.debt_rows(spark, tables)
+    stale = {"TotalPaymentAmount": "concat(OutstandingAmount, InvoiceRef)", "OutstandingAmount": "TeamName"}
+    both = drops.with_snapshots(debts, stale)
+    assert both._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 3  # orders, customers, nations
+    assert both.columns == [*debts.columns, "_stamp"]
+    want = [(*r, f"{r['_season']}0901120000") for r in debts.collect()]
+    for r in debts.collect():
+        earlier = {**r.asDict(), "TotalPaymentAmount": r["OutstandingAmount"] + r["InvoiceRef"], "OutstandingAmount": r["TeamName"]}
+        want.append((*earlier.values(), f"{r['_season']}0301120000"))
+    assert sorted(map(tuple, both.collect()), key=str) == sorted(want, key=str) and len(want) == 98
+
+
 def test_teams_need_no_lines(spark, tmp_path, tables):
     lake = drops.cleaned_lake(spark, tables, "silver_team_details", "silver_team_lists")
     assert lake.scan("silver", "silver_team_details").count() == 3 and lake.scan("silver", "silver_team_lists").count() == 6

@@ -9,6 +9,7 @@ from snapfold.sources import (
     decode_windows_1252,
     encode_windows_1252,
     read_snapshots,
+    snapshots,
 )
 from tests.conftest import plan, rows
 
@@ -54,6 +55,20 @@ def test_windows_1252_round_trip(spark):
     assert encoded.select(decode_windows_1252(F.col("c"))).first()[0] == meant
 
 
+def test_windows_1252_leaves_ascii_cells_alone(spark, monkeypatch):
+    cells = ["plain, \"text\"\n~", "", None, "caf\xe9", "\x93quoted\x94", "\x80", "a\x7f"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    want = [c and c.encode("latin-1").decode("cp1252") for c in cells]
+    assert [r[0] for r in df.select(decode_windows_1252(F.col("c"))).collect()] == want
+    back = spark.createDataFrame([(c,) for c in want], "c string")
+    assert [r[0] for r in back.select(encode_windows_1252(F.col("c"))).collect()] == cells
+    # No character of a cell of ASCII is looked up.
+    monkeypatch.setattr(snapshots.F, "translate", lambda *_: F.raise_error(F.lit("looked up")))
+    ascii_ = df.where("c IS NOT NULL AND octet_length(c) = char_length(c)")
+    for change in (decode_windows_1252, encode_windows_1252):
+        assert [r[0] for r in ascii_.select(change(F.col("c"))).collect()] == [cells[0], "", "a\x7f"]
+
+
 def test_headers_may_differ(spark, tmp_path):
     put(tmp_path, "1.csv", "id,name\n1,a\n")
     put(tmp_path, "2.csv", "name,extra,id\nb,x,2\n")
