@@ -1,7 +1,10 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from snapfold.functions import column
+from snapfold.session import shuffles_released
 from snapfold.sources import (
     FILE_ORDER,
     UTF_8,
@@ -168,3 +171,21 @@ def test_partitions_get_files_by_their_size(spark, lake):
     of = stored.select("Season", F.col("_metadata.file_path").alias("f")).distinct()
     files = {r[0]: r[1] for r in of.groupBy("Season").count().collect()}
     assert files[2024] == 1 and 2 <= files[2025] <= 8 and stored.count() == 60_064
+
+
+def test_headers_outlive_a_freed_shuffle(spark, tmp_path):
+    """What has been sorted is still there when the headers are asked for, and no file is opened again."""
+    for i in range(24):
+        put(tmp_path / "drops", f"{i}.csv", f"k,c{i % 6}\n{i},x\n")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        with shuffles_released(spark):
+            headers = snapshots.sorted_headers(snapshots.list_files(spark, f"{tmp_path}/drops"), UTF_8)
+            time.sleep(1)
+            for f in (tmp_path / "drops").iterdir():
+                f.unlink()
+            found = [*headers]
+    finally:
+        spark.conf.set(coalesce, "true")
+    assert [r.header[1] for r in found] == [f"c{i}" for i in range(6) for _ in range(4)]
