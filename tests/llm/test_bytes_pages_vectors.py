@@ -388,3 +388,20 @@ def test_cover_tree_links_whole_nodes():
     half = len(points) // 2
     both, parent = embeddings.unit_links(points[:half], weights[:half], points[half:], weights[half:], 0.93)
     assert np.array_equal(both, np.concatenate([near[:half, half:] @ weights[half:], near[half:, :half] @ weights[:half]]))
+
+
+def test_levels_are_asked_as_they_are(monkeypatch):
+    """Counts and followers come from the Elias-Fano sequences themselves, which are never unpacked."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(ngrams.EliasFano, "decode", None, raising=False)
+    for contexts, most, n in ((50, 40, 600), (3, 5000, 900), (7, 1, 5), (4, 9, 0)):
+        grams = np.unique(np.stack([rng.integers(0, contexts, n), rng.integers(0, most, n)]), axis=1) if n else np.zeros((2, 0), np.int64)
+        counts = rng.integers(1, 9, grams.shape[1])
+        level = ngrams.Level(*grams, counts, contexts)
+        # Followers beyond the largest one, and contexts that nothing follows, are asked for too.
+        context, follower = (x.ravel() for x in np.meshgrid(np.arange(contexts), np.arange(most + 70)))
+        known = dict(zip(zip(*grams.tolist()), counts.tolist()))
+        found, many = level.lookup(context, follower)
+        assert found.tolist() == [known.get(k, 0) for k in zip(context.tolist(), follower.tolist())]
+        assert many.tolist() == [sum(c == k for c, _ in known) for k in context.tolist()]
+        assert level.pointers().tolist() == [sum(c < k for c, _ in known) for k in range(contexts + 1)]
