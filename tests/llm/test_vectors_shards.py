@@ -205,3 +205,11 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert Counter(map(tuple, back.select(*placed.columns).collect())) == Counter(map(tuple, placed.collect()))
     assert {p.name for p in (tmp_path / "shards").glob("shard=*")} == {f"shard={k}" for k in range(4)}
+
+
+def test_cells_come_as_columns(spark, monkeypatch):
+    """The driver holds no row object for each cell."""
+    groups = spark.range(200).selectExpr("xxhash64(id) AS key", "id % 7 + 1 AS size")
+    cuts = sharding.minimax_cuts(groups, "key", "size", 5, 8)
+    monkeypatch.setattr(type(groups), "collect", None)
+    assert sharding.minimax_cuts(groups, "key", "size", 5, 8) == cuts and len(cuts) == 4
