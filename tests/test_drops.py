@@ -142,3 +142,13 @@ def test_many_lines_are_taken_in_by_slices_of_orders(spark, tmp_path, lines, mon
     for label in ("ranked-lines", "filled"):
         folders = glob.glob(f"{tmp_path}/scratch/{label}-*")
         assert folders and not any(os.path.getsize(f) for d in folders for f in glob.glob(f"{d}/**/*.parquet", recursive=True))
+
+
+def test_lines_are_ranked_once_for_all_tables(spark, lines, monkeypatch):
+    made, stored = [], drops.stored_lines
+    monkeypatch.setattr(drops, "SEASONS", (2020,))
+    monkeypatch.setattr(drops, "stored_lines", lambda *of: made.append(stored(*of)) or made[-1])
+    lake = drops.cleaned_lake(spark, lines, "silver_invoices", "silver_players")
+    assert len(made) == 1
+    assert lake.scan("silver", "silver_invoices").count() == 7 and lake.scan("silver", "silver_players").count() == 21
+    assert not any(os.path.getsize(f) for f in glob.glob(f"{made[0].folder}/**/*.parquet", recursive=True))
